@@ -1,0 +1,79 @@
+"""Compare registered queries with their SQL on the given tables: value by value, any row order."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import __spark_entry__ as contract
+from tickloom.session import build_session
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    db = duckdb.connect()
+    for table in TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return db
+
+
+def canonical(frame: pd.DataFrame) -> list[tuple]:
+    """Rows as tuples of text in column-name order, sorted."""
+    names = sorted(frame.columns)
+
+    def text(value) -> str:
+        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+            return "\0"
+        if isinstance(value, float):
+            return repr(round(value, 4) + 0.0)
+        if isinstance(value, pd.Timestamp):
+            return str(value.to_datetime64().astype("datetime64[us]"))
+        return str(value)
+
+    columns = [[text(v) for v in frame[n].tolist()] for n in names]
+    return sorted(zip(*columns)) if columns else []
+
+
+def differences(spark, db, name: str, sf_dir: str) -> str | None:
+    """None when equal, else what differs."""
+    mine = contract.queries()[name](spark, sf_dir).toPandas()
+    theirs = db.execute(contract.oracle_sql()[name]).df()
+    if sorted(mine.columns) != sorted(theirs.columns):
+        return f"columns {sorted(mine.columns)} / {sorted(theirs.columns)}"
+    kinds = [(n, mine[n].dtype.kind, theirs[n].dtype.kind) for n in sorted(mine.columns)
+             if mine[n].dtype.kind != theirs[n].dtype.kind and mine[n].notna().all()]
+    left, right = canonical(mine), canonical(theirs)
+    if left != right:
+        odd = sorted(set(left) ^ set(right))[:4]
+        return f"rows {len(left)} / {len(right)}, e.g. {odd}"
+    return f"types {kinds}" if kinds else None
+
+
+def main(sf_dir: str, names: list[str]) -> None:
+    spark = build_session(master="local[8]", **{
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    spark.sparkContext.setLogLevel("ERROR")
+    db = connect(sf_dir)
+    bad = 0
+    for name in names or list(contract.queries()):
+        begun = time.time()
+        try:
+            problem = differences(spark, db, name, sf_dir)
+        except Exception as error:
+            problem = f"{type(error).__name__}: {str(error)[:600]}"
+        bad += problem is not None
+        print(f"{name:24} {time.time() - begun:6.2f}s {'ok' if problem is None else problem}", flush=True)
+    print(f"{bad} differ")
+
+
+if __name__ == "__main__":
+    main(sys.argv[1], sys.argv[2:])
