@@ -45,7 +45,7 @@ def seq_gaps(ticks: DataFrame, feed: Sequence[str] = (), order: str = "Timestamp
 def stale_intervals(df: DataFrame, threshold: str = "60 seconds", ts: str = "Trade_Time",
                     feed: Sequence[str] = (), now: datetime | None = None,
                     segment: str = "30 days") -> DataFrame:
-    """Spells longer than ``threshold`` without a row: (feed, gap_start, gap_end, seconds).
+    """Spells longer than ``threshold`` without a row: (feed, gap_start, gap_end, gap_micros).
 
     Rows are first folded into buckets of ``threshold``: no two rows of one bucket can be further
     apart than that, so first and last time per bucket say everything. With ``now``, a spell that
@@ -72,7 +72,7 @@ def stale_intervals(df: DataFrame, threshold: str = "60 seconds", ts: str = "Tra
     micros = F.unix_micros("_first") - F.unix_micros("gap_start")
     return (
         paired.filter(micros > span_micros(threshold))
-        .select(*feed, "gap_start", F.col("_first").alias("gap_end"), (micros / 1e6).alias("seconds"))
+        .select(*feed, "gap_start", F.col("_first").alias("gap_end"), micros.alias("gap_micros"))
     )
 
 

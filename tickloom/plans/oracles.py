@@ -106,8 +106,7 @@ def stale(threshold: str, keys: str = "", now: bool = False) -> str:
         GROUP BY {keys} HAVING max("Trade_Time") < {newest}"""
     return f"""WITH ticks AS ({PLAIN}), seen AS ({rows}),
 paired AS (SELECT {prefix}lag(seen_at) OVER ({partition} ORDER BY seen_at) AS gap_start, seen_at AS gap_end FROM seen)
-SELECT {prefix}gap_start, gap_end,
-       round((epoch_us(gap_end) - epoch_us(gap_start)) / 1000000.0, 4) AS seconds
+SELECT {prefix}gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) AS gap_micros
 FROM paired WHERE gap_end - gap_start > INTERVAL '{threshold}'"""
 
 

@@ -125,14 +125,12 @@ class TickStore:
     def upsert(self, table: str, new: DataFrame, since: datetime) -> None:
         """Merge bars that all lie at or after ``since`` into the stored ones.
 
-        Only partitions from ``since`` on are read and rewritten. They are staged first, since a
-        table cannot be overwritten while it is read; rerunning after a failure gives the same rows.
+        Only partitions from ``since`` on are read and rewritten. A dynamic overwrite puts its files
+        in place when all tasks are done, so the table may be read by the job that replaces its
+        partitions; lost executors only repeat tasks.
         """
-        whole = floor_moment(since, "1 hour" if "hour" in self.layout(table) else "1 day")
-        merged = merge_bars(self.scan_table(table, whole), new)
-        staged = self.path(f"_staged/{table}")
-        merged.write.mode("overwrite").parquet(staged)
-        self.replace_partitions(table, self.spark.read.schema(merged.schema).parquet(staged))
+        whole = floor_moment(since, "1 hour" if table in self.hourly else "1 day")
+        self.replace_partitions(table, merge_bars(self.scan_table(table, whole), new))
 
     def upsert_bars(self, interval: str, new: DataFrame, since: datetime) -> None:
         self.upsert(BAR_TABLES[interval], new, since)

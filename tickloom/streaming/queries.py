@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.operators.bars import CASCADE, chained_bars, microbatch_bars, tick_bars
+from tickloom.operators.bars import STREAM_CHAIN, chained_bars, microbatch_bars, tick_bars
 from tickloom.plans.refresh import bounded_since, refresh_since, whole_range
 from tickloom.schema import FLAT_TICK
 from tickloom.sources.store import BAR_TABLES, MICROBATCH, RAW, TickStore, with_layout
@@ -84,7 +84,7 @@ def start_stream_bars(ticks: DataFrame, store: TickStore, interval: str, checkpo
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
-def stream_cascade(ticks: DataFrame, intervals: Sequence[str] = CASCADE, delay: str = LATE_BY) -> DataFrame:
+def stream_cascade(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN, delay: str = LATE_BY) -> DataFrame:
     """Bars of the coarsest interval, each level windowed over the one before, append output."""
     return chained_bars(ticks.withWatermark("Trade_Time", delay), intervals)
 
