@@ -2,41 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.avro.functions import from_avro, to_avro
 
 from tickloom.schema import FEED_MESSAGE, tick_schema
 
 BAD = "_bad"
 
 
-def _avro():
-    from pyspark.sql.avro import functions as avro
-
-    return avro
-
-
-def _needs_avro(make) -> Column:
-    try:
-        return make()
-    except (AnalysisException, TypeError) as error:
-        raise RuntimeError("Avro needs the spark-avro package on the session's classpath") from error
-
-
 def decode_avro(df: DataFrame, schema_json: str | None = None) -> DataFrame:
-    """Binary ``value`` to nested envelopes; partition and offset stay beside it."""
-    document = schema_json or tick_schema()
-    value = _needs_avro(lambda: _avro().from_avro("value", document))
+    """Binary ``value`` to nested envelopes; partition and offset stay beside it.
+
+    Needs the spark-avro package; Spark names it in its error when it is missing.
+    """
+    value = from_avro("value", schema_json or tick_schema())
     return df.select(value.alias("value"), "partition", "offset")
 
 
 def encode_avro(df: DataFrame, schema_json: str | None = None) -> DataFrame:
     """Nested envelopes to binary ``value``, ready for a topic."""
-    document = schema_json or tick_schema()
-    encoded = _needs_avro(lambda: _avro().to_avro("value", document))
-    return df.withColumn("value", encoded)
+    return df.withColumn("value", to_avro("value", schema_json or tick_schema()))
 
 
 def parse_json(df: DataFrame, column: str = "value") -> DataFrame:
