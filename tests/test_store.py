@@ -55,6 +55,18 @@ def test_scans_prune_partitions(spark, tmp_path, hourly):
     assert "GreaterThanOrEqual(time" in plan
 
 
+def test_coarse_bars_are_laid_out_by_month(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    month = 31 * 86400.0
+    store.write_bars("1 hour", bars.tick_bars(ticks(spark, [("A", 1.0, 1.0, 0.0, 1), ("A", 2.0, 1.0, month, 2)]), "1 hour"))
+    store.upsert_bars("1 hour", bars.tick_bars(ticks(spark, [("A", 3.0, 1.0, 86400.0, 3)]), "1 hour"), at(86400))
+    assert sorted(p.name for p in (tmp_path / "1h-monitor").glob("month=*")) == ["month=2024-03-01", "month=2024-04-01"]
+    assert [r.Close for r in store.scan_bars("1 hour").orderBy("time").collect()] == [1.0, 3.0, 2.0]
+    later = store.scan_bars("1 hour", since=at(month - 60))
+    assert later.count() == 1
+    assert "(month" in later._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
+
+
 def test_cascade_tables_equal_direct_bars(spark, tmp_path):
     store = TickStore(spark, str(tmp_path))
     source = views.plain_ticks(views.read_events(spark, SF_DIR))

@@ -55,15 +55,16 @@ def flat_ticks(events: DataFrame) -> DataFrame:
         "Symbol": F.col("event_type"),
         "Volume": volume,
         "Trade_Time": F.col("ts"),
-        "Hash_Web": F.when(F.col("event_id") % 97 == 0, F.lit("0")).otherwise(fingerprint),
+        "Hash_Web": F.when(F.col("event_id") % 97 == 0, F.lit("0")).otherwise(F.col("fingerprint")),
         "Seq": F.col("event_id"),
         "Timestamp_Web": iso_millis(ingest),
         "Offset": F.floor(F.col("event_id") / TICKS_PER_MESSAGE),
         "Partition": _feed(),
-        "Hash_Spark": fingerprint,
+        "Hash_Spark": F.col("fingerprint"),
     }
     position = (F.col("event_id") % TICKS_PER_MESSAGE).cast("int").alias("Position")
-    return events.select(*[fields[n].alias(n) for n in FLAT_TICK.names], position)
+    hashed = events.withColumn("fingerprint", fingerprint)
+    return hashed.select(*[fields[n].alias(n) for n in FLAT_TICK.names], position)
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:

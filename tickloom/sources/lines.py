@@ -38,6 +38,17 @@ def _escape_name(name: str, characters: str = ",= ") -> str:
     return name
 
 
+def _any_present(df: DataFrame, fields: Sequence[str]) -> Column:
+    """Whether a row has a field to write; plain null tests, so no text is built twice."""
+    present = F.lit(False)
+    for name in fields:
+        known = F.col(name).isNotNull()
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            known = known & ~F.isnan(name)
+        present = present | known
+    return present
+
+
 def to_line_protocol(df: DataFrame, table: str, tags: Sequence[str], fields: Sequence[str],
                      ts: str = "time") -> DataFrame:
     """One ``line`` per row; null tags and fields are left out, a row without fields gives none."""
@@ -47,7 +58,7 @@ def to_line_protocol(df: DataFrame, table: str, tags: Sequence[str], fields: Seq
     head = F.concat_ws(",", F.lit(_escape_name(table, ", ")), *tag_texts)
     body = F.concat_ws(",", *[_field(df, f) for f in fields])
     line = F.concat_ws(" ", head, body, epoch_ns(ts).cast("string"))
-    return df.filter(body != "").select(line.alias("line"))
+    return df.filter(_any_present(df, fields)).select(line.alias("line"))
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -1,4 +1,4 @@
-"""Parquet tables of ticks and bars, laid out by date (chosen bar tables also by hour).
+"""Parquet tables of ticks and bars, laid out by date; coarse bars by month, chosen ones by hour.
 
 A time bound becomes both a partition filter and a pushed-down row filter.
 """
@@ -32,16 +32,17 @@ LEVELS = {
 BAR_TABLES = {interval: table for table, (interval, _) in LEVELS.items()}
 
 
-_PARTS = {"date": T.StructField("date", T.DateType()), "hour": T.StructField("hour", T.IntegerType())}
+_PARTS = {"month": T.StructField("month", T.DateType()), "date": T.StructField("date", T.DateType()),
+          "hour": T.StructField("hour", T.IntegerType())}
+# Bars of these tables are so few that a day would make small files.
+MONTHLY = frozenset({"15m-monitor", "1h-monitor"})
 
 
 def _utc_parts(ts: str) -> dict[str, Column]:
-    """Date and hour of the UTC instant, whatever the session zone."""
+    """Month, date and hour of the UTC instant, whatever the session zone."""
     hours = F.floor(F.unix_seconds(F.col(ts)) / 3600)
-    return {
-        "date": F.date_from_unix_date(F.floor(hours / 24).cast("int")),
-        "hour": F.pmod(hours, F.lit(24)).cast("int"),
-    }
+    day = F.date_from_unix_date(F.floor(hours / 24).cast("int"))
+    return {"month": F.trunc(day, "month"), "date": day, "hour": F.pmod(hours, F.lit(24)).cast("int")}
 
 
 def with_layout(df: DataFrame, ts: str, parts: Sequence[str]) -> DataFrame:
@@ -53,10 +54,13 @@ def _since(df: DataFrame, ts: str, start: datetime | None, parts: Sequence[str])
     if start is None:
         return df
     start = utc(start)
-    day = F.lit(start.date())
-    bound = F.col("date") >= day
-    if "hour" in parts:
-        bound = (F.col("date") > day) | ((F.col("date") == day) & (F.col("hour") >= start.hour))
+    if parts == ["month"]:
+        bound = F.col("month") >= F.lit(start.date().replace(day=1))
+    else:
+        day = F.lit(start.date())
+        bound = F.col("date") >= day
+        if "hour" in parts:
+            bound = (F.col("date") > day) | ((F.col("date") == day) & (F.col("hour") >= start.hour))
     return df.filter(bound).filter(F.col(ts) >= moment_literal(start))
 
 
@@ -64,8 +68,8 @@ def _since(df: DataFrame, ts: str, start: datetime | None, parts: Sequence[str])
 class TickStore:
     """The tables below one root folder. One writer per table.
 
-    Bar tables named in ``hourly`` are laid out by hour as well: with very many symbols a refresh of
-    fine bars then rewrites an hour instead of a day.
+    Bar tables named in ``hourly`` are laid out by date and hour: with very many symbols a refresh
+    of fine bars then rewrites an hour instead of a day.
     """
 
     spark: SparkSession
@@ -73,7 +77,16 @@ class TickStore:
     hourly: frozenset[str] = frozenset()
 
     def layout(self, table: str) -> list[str]:
-        return ["date", "hour"] if table in self.hourly else ["date"]
+        if table in self.hourly:
+            return ["date", "hour"]
+        return ["month"] if table in MONTHLY else ["date"]
+
+    def partition_start(self, table: str, moment: datetime) -> datetime:
+        """Start of the partition that holds ``moment``."""
+        if "hour" in self.layout(table):
+            return floor_moment(moment, "1 hour")
+        day = floor_moment(moment, "1 day")
+        return day.replace(day=1) if "month" in self.layout(table) else day
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -129,8 +142,8 @@ class TickStore:
         in place when all tasks are done, so the table may be read by the job that replaces its
         partitions; lost executors only repeat tasks.
         """
-        whole = floor_moment(since, "1 hour" if table in self.hourly else "1 day")
-        self.replace_partitions(table, merge_bars(self.scan_table(table, whole), new))
+        stored = self.scan_table(table, self.partition_start(table, since))
+        self.replace_partitions(table, merge_bars(stored, new))
 
     def upsert_bars(self, interval: str, new: DataFrame, since: datetime) -> None:
         self.upsert(BAR_TABLES[interval], new, since)
