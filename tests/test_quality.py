@@ -56,6 +56,14 @@ def test_latency_percentiles_are_exact(spark):
     assert (found.mean_ms, found.spark_mean_ms) == (500.5, 1499.5)
 
 
+def test_unreadable_ingest_times_count_nowhere(spark):
+    source = spark.createDataFrame(
+        [("A", at(0), "2024-03-04T18:00:00.007+09:00"), ("A", at(0), "?"), ("B", at(0), None)],
+        "Symbol string, Trade_Time timestamp, Timestamp_Web string")
+    found = {r.Symbol: (r.n, r.p50_ms, r.mean_ms) for r in quality.latency(source).collect()}
+    assert found == {"A": (1, 7, 7.0), "B": (0, None, None)}
+
+
 def progress(spark):
     def report(name, seconds, rows_in, *sources):
         return (name, at(seconds), rows_in, list(sources))

@@ -111,6 +111,19 @@ def test_history_bounds_the_averages(spark, tmp_path):
     assert rows(store.scan_bars("5 seconds").select("time", "MA_60"), "time") == kept
 
 
+def test_averages_reach_back_for_a_thin_symbol(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    thin = [("THIN", float(i), 1.0, i * 40000.0, i) for i in range(8)]
+    busy = [("BUSY", float(i), 1.0, 280000.0 + i * 5.0, 100 + i) for i in range(90)]
+    store.append_ticks(flat(spark, thin + busy))
+    refresh.refresh_level(store, "5 seconds", at(0), at(280500), windows=(5,))
+    direct = rows(ordered.moving_averages(bars.tick_bars(ticks(spark, thin + busy), "5 seconds"), [5]), "Symbol", "time")
+    columns = ["Symbol", "time", *BAR_FIELDS, "MA_5"]
+    assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == direct
+    refresh.refresh_level(store, "5 seconds", at(280000), at(280500), windows=(5,))
+    assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == direct
+
+
 def test_line_protocol_escapes_and_leaves_out_missing_fields(spark):
     source = spark.createDataFrame(
         [("A B,=", 'say "hi"\\', 1.5, None, 3, at(0)), ("C", None, float("nan"), None, None, at(0)),

@@ -35,6 +35,19 @@ def max_sequence(ticks: DataFrame) -> int | None:
     return None if low < 0 else high
 
 
+def _fits(interval: str | timedelta, max_seq: int) -> bool:
+    """Whether the offset in a bucket and ``Seq`` share one long."""
+    return span_micros(interval).bit_length() + max(max_seq, 1).bit_length() <= 63
+
+
+def _packed_step(interval: str, max_seq: int | None) -> str | None:
+    """The longest interval for which ticks can be ordered by a packed key: the wanted one or a part of it."""
+    if max_seq is None:
+        return None
+    parts = [i for i in reversed(CASCADE) if span(i) < span(interval) and not span(interval) % span(i)]
+    return next((i for i in [interval, *parts] if _fits(i, max_seq)), None)
+
+
 def _tick_key(interval: str | timedelta, max_seq: int | None) -> Column:
     """Order of ticks inside one bucket: trade time, then ``Seq``.
 
@@ -43,14 +56,12 @@ def _tick_key(interval: str | timedelta, max_seq: int | None) -> Column:
     bucket and ``Seq`` share one long and the plan is a hash aggregate.
     """
     seq = F.coalesce(F.col("Seq"), F.lit(0).cast("bigint"))
-    if max_seq is not None:
-        seq_bits = max(max_seq, 1).bit_length()
-        if span_micros(interval).bit_length() + seq_bits <= 63:
-            offset = F.pmod(F.unix_micros("Trade_Time"), F.lit(span_micros(interval)).cast("bigint"))
-            packed = F.shiftleft(offset, seq_bits) + seq
-            out_of_bound = F.raise_error(F.lit("Seq exceeds the given max_seq"))
-            return F.when(seq.between(0, max_seq), packed).otherwise(out_of_bound.cast("bigint"))
-    return F.struct(F.col("Trade_Time"), seq)
+    if max_seq is None or not _fits(interval, max_seq):
+        return F.struct(F.col("Trade_Time"), seq)
+    offset = F.pmod(F.unix_micros("Trade_Time"), F.lit(span_micros(interval)).cast("bigint"))
+    packed = F.shiftleft(offset, max(max_seq, 1).bit_length()) + seq
+    out_of_bound = F.raise_error(F.lit("Seq exceeds the given max_seq"))
+    return F.when(seq.between(0, max_seq), packed).otherwise(out_of_bound.cast("bigint"))
 
 
 def _clean(number: str) -> Column:
@@ -89,7 +100,13 @@ def tick_bars(ticks: DataFrame, interval: str, max_seq: int | None = None,
     costs one row per bucket and task. ``ingest_times`` adds first and last ingest time, which are
     compared as instants and written back as ISO text. On a stream the same call is stateful; give
     the stream a watermark on ``Trade_Time`` first.
+
+    ``max_seq`` (see ``max_sequence``) lets the aggregate hash instead of sort. Where ``Seq`` is too
+    wide for long buckets, shorter bars are hashed first and rolled up.
     """
+    step = None if ticks.isStreaming or ingest_times else _packed_step(interval, max_seq)
+    if step is not None and step != interval:
+        return rollup_bars(tick_bars(ticks, step, max_seq), interval)
     if ticks.isStreaming:
         bucket = F.window("Trade_Time", interval)
         label = F.col("bucket.start")

@@ -48,31 +48,26 @@ def stale_intervals(df: DataFrame, threshold: str = "60 seconds", ts: str = "Tra
     """Spells longer than ``threshold`` without a row: (feed, gap_start, gap_end, gap_micros).
 
     Rows are first folded into buckets of ``threshold``: no two rows of one bucket can be further
-    apart than that, so first and last time per bucket say everything. With ``now``, a spell that
-    is still open ends there.
+    apart than that, so first and last time per bucket say everything. Buckets are walked newest
+    first, each looking at the one after it. With ``now``, a spell that is still open ends there.
     """
-    seen = df.filter(F.col(ts).isNotNull())
     buckets = (
-        seen.groupBy(*feed, bucket_micros(ts, threshold).alias("_bucket"))
-        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+        df.filter(F.col(ts).isNotNull())
+        .groupBy(*feed, bucket_micros(ts, threshold).alias("_bucket"))
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("gap_start"))
+        .withColumn("_back", -F.col("_bucket"))
     )
-    if now is not None:
-        at = moment_literal(now)
-        ends = (
-            buckets.groupBy(*feed).agg(F.max("_last").alias("_newest")).filter(F.col("_newest") < at)
-            .select(*feed, F.unix_micros(at).alias("_bucket"), at.alias("_first"), at.alias("_last"))
-        )
-        buckets = buckets.unionByName(ends)
+    end = F.lit(None).cast("timestamp") if now is None else moment_literal(now)
 
-    def previous(window: WindowSpec) -> dict[str, Column]:
-        return {"gap_start": F.lag("_last", 1).over(window)}
+    def following(window: WindowSpec) -> dict[str, Column]:
+        return {"gap_end": F.coalesce(F.lag("_first", 1).over(window), end)}
 
-    segments = F.floor(F.col("_bucket") / F.lit(span_micros(segment)))
-    paired = over_segments(buckets, list(feed), ["_bucket"], segments, 1, previous)
-    micros = F.unix_micros("_first") - F.unix_micros("gap_start")
+    segments = F.floor(F.col("_back") / F.lit(span_micros(segment)))
+    paired = over_segments(buckets, list(feed), ["_back"], segments, 1, following)
+    micros = F.unix_micros("gap_end") - F.unix_micros("gap_start")
     return (
         paired.filter(micros > span_micros(threshold))
-        .select(*feed, "gap_start", F.col("_first").alias("gap_end"), micros.alias("gap_micros"))
+        .select(*feed, "gap_start", "gap_end", micros.alias("gap_micros"))
     )
 
 
@@ -81,20 +76,21 @@ def latency(ticks: DataFrame, spark_time: Column | None = None,
     """Milliseconds from trade to ingest (and to ``spark_time``) per symbol, exact percentiles.
 
     Latencies are counted per whole millisecond before the shuffle; percentiles are read off the
-    cumulated counts: the smallest value that covers the share. No list of values is held.
+    cumulated counts: the smallest value that covers the share. No list of values is held. Ticks
+    without a readable ingest time count in no figure.
     """
     ingest = parse_time("Timestamp_Web")
     millis = F.floor((F.unix_micros(ingest) - F.unix_micros("Trade_Time")) / 1000)
     slim = ticks.select("Symbol", millis.cast("bigint").alias("ms"), *(
         [F.floor((F.unix_micros(spark_time) - F.unix_micros(ingest)) / 1000).alias("spark_ms")]
         if spark_time is not None else []))
-    sums = [F.count("*").alias("n")]
+    sums = [F.count("ms").alias("n")]
     if spark_time is not None:
         sums.append(F.sum("spark_ms").alias("spark_sum"))
-    counts = slim.filter(F.col("ms").isNotNull()).groupBy("Symbol", "ms").agg(*sums)
+    counts = slim.groupBy("Symbol", "ms").agg(*sums)
     by_symbol = Window.partitionBy("Symbol")
     ranked = counts.withColumns({
-        "_upto": F.sum("n").over(by_symbol.orderBy("ms")),
+        "_upto": F.sum("n").over(by_symbol.orderBy(F.asc_nulls_last("ms"))),
         "_all": F.sum("n").over(by_symbol),
     })
     shares = [
@@ -103,11 +99,11 @@ def latency(ticks: DataFrame, spark_time: Column | None = None,
         for p in percentiles
     ]
     total = F.sum("n")
-    spark_mean = [(F.sum("spark_sum") / total).alias("spark_mean_ms")] if spark_time is not None else []
+    spark_mean = [F.try_divide(F.sum("spark_sum"), total).alias("spark_mean_ms")] if spark_time is not None else []
     return ranked.groupBy("Symbol").agg(
         total.alias("n"),
         F.min("ms").alias("min_ms"),
-        (F.sum(F.col("ms") * F.col("n")) / total).alias("mean_ms"),
+        F.try_divide(F.sum(F.col("ms") * F.col("n")), total).alias("mean_ms"),
         F.max("ms").alias("max_ms"),
         *shares,
         *spark_mean,

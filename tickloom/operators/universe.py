@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_UNIVERSE = 100_000
+from tickloom.session import broadcast_if_small, materialize
 
 
 def daily_volume(ticks: DataFrame) -> DataFrame:
@@ -29,7 +29,6 @@ def top_symbols(daily: DataFrame, n: int = 50) -> DataFrame:
 
 
 def in_universe(ticks: DataFrame, top: DataFrame) -> DataFrame:
-    """Ticks of the given symbols. ``top`` comes from ``top_symbols``; its size is checked."""
-    symbols = top.select("Symbol").distinct()
-    small = symbols.limit(MAX_UNIVERSE + 1).count() <= MAX_UNIVERSE
-    return ticks.join(F.broadcast(symbols) if small else symbols, "Symbol", "left_semi")
+    """Ticks of the given symbols. The list is computed once; it is broadcast only if small."""
+    symbols = broadcast_if_small(materialize(top.select("Symbol").distinct()))
+    return ticks.join(symbols, "Symbol", "left_semi")

@@ -15,15 +15,16 @@ from tickloom.schema import BAR_FIELDS, MA_WINDOWS
 from tickloom.sources.store import BAR_TABLES, LEVELS, TickStore
 
 PLAIN_WINDOW_BARS = 50_000
+# How far back earlier bars are looked for, in multiples of the longest average, before all are read.
+REACHES = (8, 512)
 
 
-def _earlier_bars(store: TickStore, interval: str, start: datetime, history: str | None,
-                  depth: int) -> DataFrame:
+def _last_bars(store: TickStore, interval: str, start: datetime, since: datetime | None,
+               depth: int) -> DataFrame:
     """The last ``depth`` stored bars of each symbol before ``start``; only their Close is read.
 
     The rank filter is applied per task before the shuffle, so one symbol ships few rows.
     """
-    since = start - span(history) if history else None
     newest = Window.partitionBy("Symbol").orderBy(F.desc("time"))
     return (
         store.scan_bars(interval, since=since)
@@ -33,12 +34,27 @@ def _earlier_bars(store: TickStore, interval: str, start: datetime, history: str
     )
 
 
+def _earlier_bars(store: TickStore, interval: str, start: datetime, symbols: DataFrame,
+                  depth: int) -> DataFrame:
+    """As ``_last_bars``, reading back only until every one of ``symbols`` has its ``depth`` bars.
+
+    Traded symbols are complete in the nearest reach; the whole table is read only when some symbol
+    has too few bars in both.
+    """
+    for reach in REACHES:
+        near = _last_bars(store, interval, start, start - reach * depth * span(interval), depth)
+        complete = near.groupBy("Symbol").count().filter(F.col("count") >= depth)
+        if symbols.join(complete, "Symbol", "left_anti").isEmpty():
+            return near
+    return _last_bars(store, interval, start, None, depth)
+
+
 def refresh_level(store: TickStore, interval: str, since: datetime, until: datetime | None = None,
                   history: str | None = None, windows: Sequence[int] = MA_WINDOWS) -> None:
     """Recompute one table's bars from the bucket of ``since`` on and merge them in.
 
-    Averages at the start of the range also use the stored bars before it: all of them, or those of
-    the last ``history``. ``until`` (the newest event time, if known) tells how many bars a symbol
+    Averages at the start of the range also use the stored bars before it: as far back as needed, or
+    only those of the last ``history``. ``until`` (the newest event time, if known) tells how many bars a symbol
     can have in the range.
     """
     start = floor_moment(since, interval)
@@ -48,12 +64,21 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
         bars = tick_bars(store.scan_ticks(since=start), interval)
     else:
         bars = rollup_bars(store.scan_bars(order[place - 1], since=start), interval)
-    earlier = _earlier_bars(store, interval, start, history, max(windows) - 1)
-    joined = bars.unionByName(earlier, allowMissingColumns=True)
-    few = until is not None and (until - start) / span(interval) <= PLAIN_WINDOW_BARS
-    averaged = moving_averages(joined, windows, segment=None if few else "30 days")
-    fresh = averaged.filter(F.col("time") >= moment_literal(start))
-    store.upsert_bars(interval, fresh.select("Symbol", "time", *BAR_FIELDS, *[f"MA_{n}" for n in windows]), start)
+    bars = bars.persist()
+    try:
+        depth = max(windows) - 1
+        if history:
+            earlier = _last_bars(store, interval, start, start - span(history), depth)
+        else:
+            earlier = _earlier_bars(store, interval, start, bars.select("Symbol").distinct(), depth)
+        joined = bars.unionByName(earlier, allowMissingColumns=True)
+        few = until is not None and (until - start) / span(interval) <= PLAIN_WINDOW_BARS
+        averaged = moving_averages(joined, windows, segment=None if few else "30 days")
+        fresh = averaged.filter(F.col("time") >= moment_literal(start))
+        columns = ["Symbol", "time", *BAR_FIELDS, *[f"MA_{n}" for n in windows]]
+        store.upsert_bars(interval, fresh.select(*columns), start)
+    finally:
+        bars.unpersist()
 
 
 def refresh_bars(store: TickStore, now: datetime, history: str | None = None) -> None:

@@ -27,11 +27,16 @@ def encode_avro(df: DataFrame, schema_json: str | None = None) -> DataFrame:
 
 
 def parse_json(df: DataFrame, column: str = "value") -> DataFrame:
-    """Feed text parsed in one pass: ``type``, ``data`` and the text itself where it is bad."""
+    """Feed text parsed in one pass: ``type``, ``data`` and the text itself where it is bad.
+
+    The parse sits in a one-element ``explode``: Spark does not move filters on its result below a
+    generator, so a text is parsed once however many filters and columns follow.
+    """
     shape = T.StructType([*FEED_MESSAGE.fields, T.StructField(BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
     others = [c for c in df.columns if c != column]
-    parsed = df.select(*others, F.col(column), F.from_json(column, shape, options).alias("message"))
+    once = F.explode(F.array(F.from_json(column, shape, options))).alias("message")
+    parsed = df.select(*others, F.col(column), once)
     bad = F.when(F.col("message").isNull(), F.col(column)).otherwise(F.col(f"message.{BAD}"))
     return parsed.select(*others, "message.type", "message.data", bad.alias(BAD))
 
