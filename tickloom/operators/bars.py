@@ -24,44 +24,52 @@ CASCADE = ("5 seconds", "1 minute", "5 minutes", "15 minutes", "1 hour")
 STREAM_CHAIN = ("5 seconds", "1 minute", "1 hour")
 
 
-def max_sequence(ticks: DataFrame) -> int | None:
-    """A proven bound of ``Seq`` for ``tick_bars``: reads that one column, returns one row.
+SeqRange = tuple[int, int]
 
-    None when some ``Seq`` is negative, as no packed key is valid then.
-    """
+
+def seq_range(ticks: DataFrame) -> SeqRange:
+    """Smallest and largest ``Seq``, for ``tick_bars``: reads that one column, returns one row."""
     low, high = ticks.agg(F.min("Seq"), F.max("Seq")).first()
-    if high is None:
-        return 0
-    return None if low < 0 else high
+    return (0, 0) if low is None else (low, high)
+
 
+def _seq_bits(seqs: SeqRange) -> int:
+    """Bits for a rank of 0 (no ``Seq``) up to the width of the range."""
+    return (seqs[1] - seqs[0] + 1).bit_length()
 
-def _fits(interval: str | timedelta, max_seq: int) -> bool:
-    """Whether the offset in a bucket and ``Seq`` share one long."""
-    return span_micros(interval).bit_length() + max(max_seq, 1).bit_length() <= 63
 
+def _fits(interval: str | timedelta, seqs: SeqRange) -> bool:
+    """Whether the offset in a bucket and the rank of ``Seq`` share one long."""
+    return span_micros(interval).bit_length() + _seq_bits(seqs) <= 63
 
-def _packed_step(interval: str, max_seq: int | None) -> str | None:
+
+def _packed_step(interval: str, seqs: SeqRange | None) -> str | None:
     """The longest interval for which ticks can be ordered by a packed key: the wanted one or a part of it."""
-    if max_seq is None:
+    if seqs is None:
         return None
     parts = [i for i in reversed(CASCADE) if span(i) < span(interval) and not span(interval) % span(i)]
-    return next((i for i in [interval, *parts] if _fits(i, max_seq)), None)
+    return next((i for i in [interval, *parts] if _fits(i, seqs)), None)
 
 
-def _tick_key(interval: str | timedelta, max_seq: int | None) -> Column:
-    """Order of ticks inside one bucket: trade time, then ``Seq``.
+def _tick_key(interval: str | timedelta, seqs: SeqRange | None) -> Column:
+    """Order of ticks inside one bucket: trade time, then ``Seq``, a missing one first.
 
     As a struct it is always valid, but makes Spark sort all ticks (a struct cannot be updated in
-    place in a hash aggregate). With a proven bound of ``Seq`` that leaves room, offset in the
-    bucket and ``Seq`` share one long and the plan is a hash aggregate.
+    place in a hash aggregate). With a proven range of ``Seq`` that leaves room, offset in the
+    bucket and rank in the range share one long and the plan is a hash aggregate.
     """
-    seq = F.coalesce(F.col("Seq"), F.lit(0).cast("bigint"))
-    if max_seq is None or not _fits(interval, max_seq):
-        return F.struct(F.col("Trade_Time"), seq)
+    seq = F.col("Seq")
+    if seqs is None or not _fits(interval, seqs):
+        return F.struct("Trade_Time", "Seq")
+    low, high = (F.lit(bound).cast("bigint") for bound in seqs)
     offset = F.pmod(F.unix_micros("Trade_Time"), F.lit(span_micros(interval)).cast("bigint"))
-    packed = F.shiftleft(offset, max(max_seq, 1).bit_length()) + seq
-    out_of_bound = F.raise_error(F.lit("Seq exceeds the given max_seq"))
-    return F.when(seq.between(0, max_seq), packed).otherwise(out_of_bound.cast("bigint"))
+    high_part = F.shiftleft(offset, _seq_bits(seqs))
+    outside = F.raise_error(F.lit("Seq lies outside the given range")).cast("bigint")
+    return (
+        F.when(seq.isNull(), high_part)
+        .when(seq.between(low, high), high_part + (seq - low + 1))
+        .otherwise(outside)
+    )
 
 
 def _clean(number: str) -> Column:
@@ -92,7 +100,7 @@ def _rolled() -> list[Column]:
     ]
 
 
-def tick_bars(ticks: DataFrame, interval: str, max_seq: int | None = None,
+def tick_bars(ticks: DataFrame, interval: str, seqs: SeqRange | None = None,
               ingest_times: bool = False) -> DataFrame:
     """Event-time tumbling bars per symbol, left-closed, labelled by the bucket start.
 
@@ -101,12 +109,12 @@ def tick_bars(ticks: DataFrame, interval: str, max_seq: int | None = None,
     compared as instants and written back as ISO text. On a stream the same call is stateful; give
     the stream a watermark on ``Trade_Time`` first.
 
-    ``max_seq`` (see ``max_sequence``) lets the aggregate hash instead of sort. Where ``Seq`` is too
-    wide for long buckets, shorter bars are hashed first and rolled up.
+    ``seqs``, a range that holds every ``Seq`` (see ``seq_range``), lets the aggregate hash instead
+    of sort. Where it is too wide for long buckets, shorter bars are hashed first and rolled up.
     """
-    step = None if ticks.isStreaming or ingest_times else _packed_step(interval, max_seq)
+    step = None if ticks.isStreaming or ingest_times else _packed_step(interval, seqs)
     if step is not None and step != interval:
-        return rollup_bars(tick_bars(ticks, step, max_seq), interval)
+        return rollup_bars(tick_bars(ticks, step, seqs), interval)
     if ticks.isStreaming:
         bucket = F.window("Trade_Time", interval)
         label = F.col("bucket.start")
@@ -114,7 +122,7 @@ def tick_bars(ticks: DataFrame, interval: str, max_seq: int | None = None,
         ticks = ticks.filter(F.col("Trade_Time").isNotNull())
         bucket = bucket_micros("Trade_Time", interval)
         label = F.timestamp_micros("bucket")
-    aggregates = _ohlcv(_clean("Price"), _clean("Volume"), _tick_key(interval, max_seq))
+    aggregates = _ohlcv(_clean("Price"), _clean("Volume"), _tick_key(interval, seqs))
     extra = []
     if ingest_times:
         ingest = parse_time("Timestamp_Web")
@@ -140,7 +148,7 @@ def rollup_bars(bars: DataFrame, interval: str, within: Sequence[str] = ()) -> D
 
 
 def bar_cascade(ticks: DataFrame, intervals: Sequence[str] = CASCADE,
-                max_seq: int | None = None) -> dict[str, DataFrame]:
+                seqs: SeqRange | None = None) -> dict[str, DataFrame]:
     """Each interval's bars, rolled up from the one before, lazily.
 
     Ticks are aggregated once; the finest bars are then laid out by (Symbol, coarsest bucket) and
@@ -148,7 +156,7 @@ def bar_cascade(ticks: DataFrame, intervals: Sequence[str] = CASCADE,
     holds at most coarsest/finest bars. To write all levels, write the finest table first and
     start from it (``store.write_cascade``), or each level scans the ticks again.
     """
-    return rollup_cascade(tick_bars(ticks, intervals[0], max_seq), intervals)
+    return rollup_cascade(tick_bars(ticks, intervals[0], seqs), intervals)
 
 
 def rollup_cascade(finest: DataFrame, intervals: Sequence[str] = CASCADE) -> dict[str, DataFrame]:
@@ -205,7 +213,8 @@ def microbatch_bars(ticks: DataFrame, now: datetime | Column, interval: str = "5
     )
 
 
-def chained_bars(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN) -> DataFrame:
+def chained_bars(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN,
+                 seqs: SeqRange | None = None) -> DataFrame:
     """Bars of the last interval from a watermarked stream, each level windowed over the one before.
 
     Append output: a coarse bar appears once the watermark has passed its end. The levels in between
@@ -214,7 +223,7 @@ def chained_bars(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN) -> D
     """
     bars = (
         ticks.groupBy("Symbol", F.window("Trade_Time", intervals[0]).alias("bucket"))
-        .agg(*_ohlcv(_clean("Price"), _clean("Volume"), _tick_key(intervals[0], None)))
+        .agg(*_ohlcv(_clean("Price"), _clean("Volume"), _tick_key(intervals[0], seqs)))
     )
     for interval in intervals[1:]:
         bars = (

@@ -58,7 +58,7 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bars(ticks: DataFrame, interval: str, **options) -> DataFrame:
-    return bars.tick_bars(ticks, interval, max_seq=bars.max_sequence(ticks), **options)
+    return bars.tick_bars(ticks, interval, seqs=bars.seq_range(ticks), **options)
 
 
 def _available(spark: SparkSession, name: str) -> tuple[TickStore, str]:
@@ -182,7 +182,7 @@ def _register_rollup(name: str, interval: str) -> None:
     def run(spark, sf_dir):
         ticks = _plain(spark, sf_dir)
         levels = bars.CASCADE[:bars.CASCADE.index(interval) + 1]
-        return bars.bar_cascade(ticks, levels, bars.max_sequence(ticks))[interval]
+        return bars.bar_cascade(ticks, levels, bars.seq_range(ticks))[interval]
 
 
 _register_rollup("rollup_1m", "1 minute")
@@ -200,7 +200,7 @@ def bar_pyramid(spark, sf_dir):
 def bar_tables(spark, sf_dir):
     store, _ = _available(spark, "bar_tables")
     ticks = _plain(spark, sf_dir)
-    store.write_cascade(ticks, max_seq=bars.max_sequence(ticks))
+    store.write_cascade(ticks, seqs=bars.seq_range(ticks))
     levels = [
         store.scan_bars(i).select(F.lit(i).alias("interval"), "Symbol", "time", *BAR_FIELDS)
         for i in bars.CASCADE
@@ -317,7 +317,7 @@ def refresh_bars(spark, sf_dir):
     store, _ = _available(spark, "refresh_bars")
     ticks = _flat(spark, sf_dir)
     store.append_ticks(ticks)
-    store.write_cascade(ticks, max_seq=bars.max_sequence(ticks))
+    store.write_cascade(ticks, seqs=bars.seq_range(ticks))
     refresh.refresh_bars(store, filters.latest_moment(ticks))
     return store.scan_bars("1 hour")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import floor_moment, lookback_start, moment_literal, span
-from tickloom.operators.bars import rollup_bars, tick_bars
+from tickloom.operators.bars import rollup_bars, seq_range, tick_bars
 from tickloom.operators.ordered import moving_averages
 from tickloom.schema import BAR_FIELDS, MA_WINDOWS
 from tickloom.sources.store import BAR_TABLES, LEVELS, TickStore
@@ -61,7 +61,8 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
     order = list(BAR_TABLES)
     place = order.index(interval)
     if place == 0:
-        bars = tick_bars(store.scan_ticks(since=start), interval)
+        ticks = store.scan_ticks(since=start)
+        bars = tick_bars(ticks, interval, seq_range(ticks))
     else:
         bars = rollup_bars(store.scan_bars(order[place - 1], since=start), interval)
     bars = bars.persist()

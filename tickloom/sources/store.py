@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.times import floor_moment, lookback_start, moment_literal, utc
-from tickloom.operators.bars import CASCADE, rollup_bars, tick_bars
+from tickloom.operators.bars import CASCADE, SeqRange, rollup_bars, tick_bars
 from tickloom.schema import BAR, FLAT_TICK, INGEST_FIELDS
 
 RAW = "raw"
@@ -149,9 +149,9 @@ class TickStore:
         self.upsert(BAR_TABLES[interval], new, since)
 
     def write_cascade(self, ticks: DataFrame, intervals: Sequence[str] = CASCADE,
-                      max_seq: int | None = None) -> None:
+                      seqs: SeqRange | None = None) -> None:
         """Build every level, each from the table just written, so ticks are scanned once."""
-        self.write_bars(intervals[0], tick_bars(ticks, intervals[0], max_seq))
+        self.write_bars(intervals[0], tick_bars(ticks, intervals[0], seqs))
         for finer, coarser in zip(intervals, intervals[1:]):
             self.write_bars(coarser, rollup_bars(self.scan_bars(finer), coarser))
 

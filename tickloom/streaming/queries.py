@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.operators.bars import STREAM_CHAIN, chained_bars, microbatch_bars, tick_bars
+from tickloom.operators.bars import STREAM_CHAIN, SeqRange, chained_bars, microbatch_bars, tick_bars
 from tickloom.plans.refresh import bounded_since, refresh_since, whole_range
 from tickloom.schema import FLAT_TICK
 from tickloom.sources.store import BAR_TABLES, MICROBATCH, RAW, TickStore, with_layout
@@ -60,14 +60,15 @@ def start_bars_batch(ticks: DataFrame, store: TickStore, checkpoint: str,
     return _triggered(writer, trigger).start()
 
 
-def stream_bars(ticks: DataFrame, interval: str, delay: str = LATE_BY) -> DataFrame:
+def stream_bars(ticks: DataFrame, interval: str, delay: str = LATE_BY,
+                seqs: SeqRange | None = None) -> DataFrame:
     """Event-time bars of a stream; ticks later than ``delay`` are dropped."""
-    return tick_bars(ticks.withWatermark("Trade_Time", delay), interval)
+    return tick_bars(ticks.withWatermark("Trade_Time", delay), interval, seqs)
 
 
 def start_stream_bars(ticks: DataFrame, store: TickStore, interval: str, checkpoint: str,
                       delay: str = LATE_BY, trigger: str | None = BAR_TRIGGER,
-                      name: str = "bars") -> StreamingQuery:
+                      name: str = "bars", seqs: SeqRange | None = None) -> StreamingQuery:
     """Keep the table of ``interval`` current: changed bars are merged in by (Symbol, time)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -79,14 +80,15 @@ def start_stream_bars(ticks: DataFrame, store: TickStore, interval: str, checkpo
         finally:
             changed.unpersist()
 
-    bars = stream_bars(ticks, interval, delay)
+    bars = stream_bars(ticks, interval, delay, seqs)
     writer = bars.writeStream.queryName(name).outputMode("update").foreachBatch(write)
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
-def stream_cascade(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN, delay: str = LATE_BY) -> DataFrame:
+def stream_cascade(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN, delay: str = LATE_BY,
+                   seqs: SeqRange | None = None) -> DataFrame:
     """Bars of the coarsest interval, each level windowed over the one before, append output."""
-    return chained_bars(ticks.withWatermark("Trade_Time", delay), intervals)
+    return chained_bars(ticks.withWatermark("Trade_Time", delay), intervals, seqs)
 
 
 def start_append(bars: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
