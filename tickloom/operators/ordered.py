@@ -18,15 +18,18 @@ from tickloom.schema import MA_WINDOWS
 from tickloom.session import broadcast_if_small, materialize
 
 
+Extend = Callable[[DataFrame, WindowSpec], DataFrame]
+
+
 def over_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column,
-                  depth: int, columns: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
-    """Add ``columns(window)`` where no frame reaches more than ``depth`` rows back.
+                  depth: int, added: Sequence[str], extend: Extend) -> DataFrame:
+    """``extend(df, window)``, which adds the columns ``added`` and looks at most ``depth`` rows back.
 
     ``segment`` must not decrease along ``order`` within ``keys``, and ``order`` must be total.
     Both branches read one shuffle by (keys, segment); the second shuffle carries at most
     ``2 * depth`` rows per segment.
     """
-    names = df.columns
+    columns = [*df.columns, *added]
     inside = Window.partitionBy(*keys, "_seg").orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(*order)
     placed = df.withColumn("_seg", segment).withColumns({
@@ -34,11 +37,27 @@ def over_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], segm
         "_from_end": F.lead(F.lit(1), depth).over(inside),
     })
     head = F.col("_from_start") <= depth
-    deep = placed.withColumns(columns(inside)).filter(~head)
+    deep = extend(placed, inside).filter(~head)
     edges = placed.filter(head | F.col("_from_end").isNull())
-    finished = edges.withColumns(columns(across)).filter(head)
-    added = list(columns(across))
-    return deep.select(*names, *added).unionByName(finished.select(*names, *added))
+    finished = extend(edges, across).filter(head)
+    return deep.select(*columns).unionByName(finished.select(*columns))
+
+
+def _with_sums(bars: DataFrame, window: WindowSpec, windows: Sequence[int]) -> DataFrame:
+    """``_sum_n`` of the last n closes, null while there are fewer or one is null.
+
+    A sum whose length is a multiple of the one before is put together from shifted copies of it
+    (60 = 3 x 20 = 3 x 2 x 10...), so a row costs a few shifts instead of n additions per length.
+    """
+    done = 1
+    for n in sorted(set(windows)):
+        base, size = ("Close", 1) if n % done else (f"_sum_{done}" if done > 1 else "Close", done)
+        total = F.col(base)
+        for shift in range(size, n, size):
+            total = total + F.lag(base, shift).over(window)
+        bars = bars.withColumn(f"_sum_{n}", total)
+        done = n
+    return bars
 
 
 def moving_averages(bars: DataFrame, windows: Sequence[int] = MA_WINDOWS,
@@ -49,19 +68,16 @@ def moving_averages(bars: DataFrame, windows: Sequence[int] = MA_WINDOWS,
     ``segment / bar interval`` bars per symbol. ``segment=None`` uses one plain window: right when
     a lookback already bounds the bars per symbol.
     """
+    names = [f"MA_{n}" for n in windows]
 
-    def averages(window: WindowSpec) -> dict[str, Column]:
-        result = {}
-        for n in windows:
-            frame = window.rowsBetween(-(n - 1), 0)
-            full = F.count("Close").over(frame) == n
-            result[f"MA_{n}"] = F.when(full, F.avg("Close").over(frame))
-        return result
+    def averaged(df: DataFrame, window: WindowSpec) -> DataFrame:
+        summed = _with_sums(df, window, windows)
+        return summed.withColumns({f"MA_{n}": F.col(f"_sum_{n}") / n for n in windows})
 
     if segment is None:
-        return bars.withColumns(averages(Window.partitionBy("Symbol").orderBy("time")))
+        return averaged(bars, Window.partitionBy("Symbol").orderBy("time")).select(*bars.columns, *names)
     return over_segments(bars, ["Symbol"], ["time"], bucket_micros("time", segment),
-                         max(windows) - 1, averages)
+                         max(windows) - 1, names, averaged)
 
 
 def range_segments(df: DataFrame, order: Sequence[str]) -> DataFrame:

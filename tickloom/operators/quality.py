@@ -31,10 +31,10 @@ def seq_gaps(ticks: DataFrame, feed: Sequence[str] = (), order: str = "Timestamp
     slim = ticks.select(*feed, order, "Seq").filter(F.col("Seq").isNotNull())
     placed = range_segments(slim, [*feed, order, "Seq"])
 
-    def previous(window: WindowSpec) -> dict[str, Column]:
-        return {"after_seq": F.lag("Seq", 1).over(window)}
+    def previous(df: DataFrame, window: WindowSpec) -> DataFrame:
+        return df.withColumn("after_seq", F.lag("Seq", 1).over(window))
 
-    paired = over_segments(placed, list(feed), ["_id"], F.col("_segment"), 1, previous)
+    paired = over_segments(placed, feed, ["_id"], F.col("_segment"), 1, ["after_seq"], previous)
     missing = F.col("Seq") - F.col("after_seq") - 1
     return (
         paired.filter(missing > 0)
@@ -59,11 +59,11 @@ def stale_intervals(df: DataFrame, threshold: str = "60 seconds", ts: str = "Tra
     )
     end = F.lit(None).cast("timestamp") if now is None else moment_literal(now)
 
-    def following(window: WindowSpec) -> dict[str, Column]:
-        return {"gap_end": F.coalesce(F.lag("_first", 1).over(window), end)}
+    def following(df: DataFrame, window: WindowSpec) -> DataFrame:
+        return df.withColumn("gap_end", F.coalesce(F.lag("_first", 1).over(window), end))
 
     segments = F.floor(F.col("_back") / F.lit(span_micros(segment)))
-    paired = over_segments(buckets, list(feed), ["_back"], segments, 1, following)
+    paired = over_segments(buckets, feed, ["_back"], segments, 1, ["gap_end"], following)
     micros = F.unix_micros("gap_end") - F.unix_micros("gap_start")
     return (
         paired.filter(micros > span_micros(threshold))
