@@ -16,7 +16,7 @@ from tickloom.sources.store import BAR_TABLES, LEVELS, TickStore
 
 PLAIN_WINDOW_BARS = 50_000
 # How far back earlier bars are looked for, in multiples of the longest average, before all are read.
-REACHES = (8, 512)
+REACH = 64
 
 
 def _last_bars(store: TickStore, interval: str, start: datetime, since: datetime | None,
@@ -36,16 +36,14 @@ def _last_bars(store: TickStore, interval: str, start: datetime, since: datetime
 
 def _earlier_bars(store: TickStore, interval: str, start: datetime, symbols: DataFrame,
                   depth: int) -> DataFrame:
-    """As ``_last_bars``, reading back only until every one of ``symbols`` has its ``depth`` bars.
+    """As ``_last_bars``, from the near past if every one of ``symbols`` has its ``depth`` bars there.
 
-    Traded symbols are complete in the nearest reach; the whole table is read only when some symbol
-    has too few bars in both.
+    Traded symbols do; the whole table is read only when some symbol has too few.
     """
-    for reach in REACHES:
-        near = _last_bars(store, interval, start, start - reach * depth * span(interval), depth)
-        complete = near.groupBy("Symbol").count().filter(F.col("count") >= depth)
-        if symbols.join(complete, "Symbol", "left_anti").isEmpty():
-            return near
+    near = _last_bars(store, interval, start, start - REACH * depth * span(interval), depth)
+    complete = near.groupBy("Symbol").count().filter(F.col("count") >= depth)
+    if symbols.join(complete, "Symbol", "left_anti").isEmpty():
+        return near
     return _last_bars(store, interval, start, None, depth)
 
 
@@ -68,7 +66,9 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
     bars = bars.persist()
     try:
         depth = max(windows) - 1
-        if history:
+        if not store.has_bars(interval):
+            earlier = bars.limit(0)
+        elif history:
             earlier = _last_bars(store, interval, start, start - span(history), depth)
         else:
             earlier = _earlier_bars(store, interval, start, bars.select("Symbol").distinct(), depth)

@@ -91,26 +91,34 @@ class TickStore:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _read(self, table: str, schema: str) -> DataFrame:
+    def _read(self, table: str, schema: str) -> DataFrame | None:
+        """The table, None before its first write."""
         try:
             return self.spark.read.schema(schema).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def _read_or_empty(self, table: str, schema: str) -> DataFrame:
+        found = self._read(table, schema)
+        return self.spark.createDataFrame([], schema) if found is None else found
+
+    def has_bars(self, interval: str) -> bool:
+        return self._read(BAR_TABLES[interval], _ddl(BAR.fields)) is not None
 
     def scan_ticks(self, lookback: str | None = None, now: datetime | None = None,
                    since: datetime | None = None) -> DataFrame:
         """Stored ticks, all or since a moment."""
         start = lookback_start(now, lookback) if lookback else since
-        ticks = self._read(RAW, _ddl(FLAT_TICK.fields) + ", date date")
+        ticks = self._read_or_empty(RAW, _ddl(FLAT_TICK.fields) + ", date date")
         return _since(ticks, "Trade_Time", start, ["date"]).drop("date")
 
     def scan_table(self, table: str, since: datetime | None = None) -> DataFrame:
         """A bar table with all its fields, all or since a moment."""
         parts = self.layout(table)
         shape = [*BAR.fields, *INGEST_FIELDS] + [_PARTS[p] for p in parts]
-        return _since(self._read(table, _ddl(shape)), "time", since, parts).drop(*parts)
+        return _since(self._read_or_empty(table, _ddl(shape)), "time", since, parts).drop(*parts)
 
     def scan_bars(self, interval: str, lookback: str | None = None, now: datetime | None = None,
                   since: datetime | None = None, align: str | None = None) -> DataFrame:
