@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import fingerprint, mixing
+from tickloom.llm import fingerprint, linededup, mixing, packing
 from tickloom.llm.text import table
 
+TOKENIZER = "byte_bpe_50k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,6 +25,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_line_dedup", """
+WITH lines AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+keyed AS (
+  SELECT doc_id, r, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM lines),
+stripped AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM keyed),
+frequent AS (SELECT key FROM stripped WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+marked AS (SELECT s.*, f.key IS NOT NULL AS gone FROM stripped s LEFT JOIN frequent f ON s.key = f.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id""")
+def op2_line_dedup(spark, sf_dir):
+    kept = linededup.drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+                       F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op6_packing")
+def op6_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 @query("op7_mixing", """
 WITH sized AS (
   SELECT doc_id, source, text,
