@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import fingerprint, linededup, mixing, packing, toxicity
+from tickloom.llm import fingerprint, linededup, mixing, neardup, packing, toxicity
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,6 +44,12 @@ def op2_line_dedup(spark, sf_dir):
                        F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark, sf_dir):
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id")
+
+
 @query("op5_toxicity")
 def op5_toxicity(spark, sf_dir):
     found = toxicity.classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
