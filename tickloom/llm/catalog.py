@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import fingerprint, linededup, mixing, neardup, packing, toxicity
+from tickloom.llm import ann, fingerprint, linededup, mixing, neardup, packing, toxicity
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -101,3 +101,8 @@ def op7_mixing(spark, sf_dir):
 @query("op8_fingerprint")
 def op8_fingerprint(spark, sf_dir):
     return fingerprint.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op9_vantage_point_ann")
+def op9_vantage_point_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))

@@ -67,10 +67,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str = SE
     targets = source_targets(sized, weights, ceiling).select(
         F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
         F.col("target").alias("_target"))
-    joined = docs.withColumn("_size", word_count(F.col("text"))).join(
+    drawn = docs.withColumn("_size", word_count(F.col("text"))).withColumn(
+        "_draw", draw(F.col("doc_id"), F.col("text"), seed))
+    joined = drawn.join(
         targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    once_more = draw(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate)
+    once_more = F.col("_draw") < rate - F.floor(rate)
     return joined.withColumn("_copies", F.floor(rate).cast("long") + once_more.cast("long"))
 
 
