@@ -25,8 +25,8 @@ NEIGHBOURS = 20
 QUERY_EVERY = 20
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 2_048
-LEAF = 256
-RELAX = 1.6
+LEAF = 1_024
+RELAX = 4.0
 
 
 class VantageTree:

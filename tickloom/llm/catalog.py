@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import ann, fingerprint, linededup, mixing, neardup, packing, toxicity
+from tickloom.llm import ann, fingerprint, licenses, linededup, mixing, neardup, packing, toxicity
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -106,3 +106,8 @@ def op8_fingerprint(spark, sf_dir):
 @query("op9_vantage_point_ann")
 def op9_vantage_point_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
