@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import ann, fingerprint, licenses, linededup, mixing, neardup, packing, toxicity
+from tickloom.llm import ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, toxicity
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_lm_score")
+def op1_lm_score(spark, sf_dir):
+    return lmscore.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_line_dedup", """
 WITH lines AS (
   SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
