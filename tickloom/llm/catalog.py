@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, toxicity
+from tickloom.llm import ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, passages, toxicity
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,6 +55,11 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", "class_id")
 
 
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op5_toxicity")
 def op5_toxicity(spark, sf_dir):
     found = toxicity.classify(table(spark, sf_dir, "documents").select("doc_id", "text"),
