@@ -11,7 +11,8 @@ The arrays hold every key that is probed here, so answers are exact; a key that
 (``ShardIndex.counts`` on other texts) is taken for a member once in 2**32.
 
 Defined cases: a null or empty text has one empty line; an empty key is never frequent; each row is a
-document, repeated rows too; a line repeated inside a document counts once; extra columns are kept.
+document, repeated rows too; a line repeated inside a document counts once; other columns are kept
+in ``_rest`` (see ``text.restored``).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.text import as_strings, parts_for, text_bytes
+from tickloom.llm.text import as_strings, parts_for, shielded, text_bytes
 
 MIN_DOCS = 10
 BLOCK_BYTES = 8 << 20
@@ -193,10 +194,11 @@ def _drop(block: pa.Table, hits: pa.Table) -> pa.Table:
 
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with ``_kept`` (the text that stays), ``_lines`` and ``_dropped``.
+    """``shielded(docs)`` with ``_kept`` (the text that stays), ``_lines`` and ``_dropped``.
 
     Both users of the blocks reuse one exchange of the texts, both users of the packed hashes another.
     """
+    docs = shielded(docs, "doc_id", "text")
     total = text_bytes(docs)
     blocks, shards = parts_for(total, BLOCK_BYTES), parts_for(total, SHARD_BYTES)
     names = [F.col(f"`{c}`") for c in docs.columns]

@@ -10,7 +10,8 @@ ceiling per weight, the common level is the largest quotient (words left) / (wei
 so one running sum over the table of sources replaces the repeated sharing.
 
 Defined cases: a null or empty text has size 0 and takes nothing; a null source is a source of its own;
-an empty table gives an empty result; repeated rows draw alike; a null ``doc_id`` draws by its text.
+an empty table gives an empty result; repeated rows draw alike; a null ``doc_id`` draws by its text; other
+columns are kept in ``_rest`` (see ``text.restored``).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.text import WORD_PATTERN
+from tickloom.llm.text import WORD_PATTERN, restored, shielded
 
 WEIGHTS = (5, 2, 1)
 CEILING = 3
@@ -58,11 +59,12 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, ceiling: int = CEILING) ->
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str = SEED) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies`` (how often to emit each).
+    """``shielded(docs)`` with ``_size``, ``_source_size``, ``_target`` and ``_copies`` (how often to emit each).
 
     The join with the sources carries no hint: Spark broadcasts it below its measured threshold, and
     otherwise a hot source is split by the adaptive skew join.
     """
+    docs = shielded(docs, "doc_id", "source", "text")
     sized = docs.select(F.col("source"), word_count(F.col("text")).alias("size"))
     targets = source_targets(sized, weights, ceiling).select(
         F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
@@ -76,9 +78,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str = SE
     return joined.withColumn("_copies", F.floor(rate).cast("long") + once_more.cast("long"))
 
 
-def emit(mixed: DataFrame) -> DataFrame:
-    """The mixture itself: each document as often as ``_copies`` says, in its own columns."""
-    names = [c for c in mixed.columns if not c.startswith("_")]
+def emit(docs: DataFrame, weights=WEIGHTS, ceiling: int = CEILING, seed: str = SEED) -> DataFrame:
+    """The mixture itself: each document as often as ``mix`` says, in the columns of ``docs``."""
+    mixed = mix(docs, weights, ceiling, seed)
     turns = F.sequence(F.lit(1), F.col("_copies").cast("int"))
-    return (mixed.where("_copies > 0").withColumn("_turn", F.explode(turns))
-            .select(*[F.col(f"`{c}`") for c in names]))
+    return restored(mixed.where("_copies > 0").withColumn("_turn", F.explode(turns)), docs)

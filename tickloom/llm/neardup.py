@@ -29,11 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.text import as_strings, lowered_words
+from tickloom.llm.text import as_strings, lowered_words, restored, shielded
 from tickloom.session import scratch_path
 
 WORDS = 5
@@ -286,9 +286,13 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` that name their class, one of each; columns as in ``docs``."""
+    """The rows of ``docs`` that name their class, one of each; columns as in ``docs``.
+
+    Rows repeated as a whole are told apart by their number, in the order that the join leaves.
+    """
+    key = lambda id_, tie: F.concat_ws(":", F.col(id_).cast("string"), tie)
     classes = near_duplicates(docs.select("doc_id", "text"), similar)
-    chosen = (classes.select(F.col("class_id").alias("_id"), F.col("class_tie").alias("_t")).distinct())
-    marked = docs.withColumn("_tie", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    kept = marked.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t")))
-    return kept.dropDuplicates(["_id", "_t"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = classes.select(key("class_id", F.col("class_tie")).alias("_key")).distinct()
+    marked = shielded(docs, "doc_id", "text").withColumn("_key", key("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    return restored(marked.join(chosen, "_key").withColumn("_number", number).where("_number = 1"), docs)

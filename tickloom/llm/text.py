@@ -17,6 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with the ``used`` columns as they are and all others inside one struct, ``_rest``.
+
+    So no other column can clash with those that an operator adds.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    packed = [F.struct(*rest).alias("_rest")] if rest else []
+    return docs.select(*used, *packed)
+
+
+def restored(shielded_docs: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` from rows made of ``shielded(docs)``; ``changed``: new values by name."""
+    plain = set(shielded_docs.columns)
+    inside = {f.name for f in shielded_docs.schema["_rest"].dataType} if "_rest" in plain else set()
+    def value(name):
+        if name in changed:
+            return changed[name]
+        return F.col("_rest").getField(name) if name in inside else F.col(f"`{name}`")
+    return shielded_docs.select(*[value(c).alias(c) for c in docs.columns])
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts: one aggregate row on the driver."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]

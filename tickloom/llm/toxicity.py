@@ -11,7 +11,8 @@ weights per category goes to the scoring tasks. Every document is scored over it
 
 Defined cases: a null text counts as empty; several labels of one document: the worst counts; rows with a
 null label or id are not trained on; without both kinds of labels a category has its observed share as a
-constant probability (0 when there is no label at all); repeated rows are scored alike; columns stay.
+constant probability (0 when there is no label at all); repeated rows are scored alike; other columns
+are kept in ``_rest`` (see ``text.restored``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.text import as_strings, lowered_words
+from tickloom.llm.text import as_strings, lowered_words, shielded
 
 TRAIN_ROWS = 3_000
 CLEAN_PER_TOXIC = 3
@@ -228,8 +229,9 @@ CATEGORIES = {"poor": "quality = 0", "toxic": "toxic = 1"}
 
 
 def classify(docs: DataFrame, labels: DataFrame, categories=None, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``p_<category>`` and ``_rejected``: the last category reaches ``threshold``."""
+    """``shielded(docs)`` with ``p_<category>`` and ``_rejected``: the last category reaches ``threshold``."""
     categories = categories or CATEGORIES
     names = list(categories)
+    docs = shielded(docs, "doc_id", "text")
     scored = score(docs, train(docs, labels, categories), names)
     return scored.withColumn("_rejected", F.col(f"p_{names[-1]}") >= threshold)
