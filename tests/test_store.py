@@ -1,10 +1,12 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR, at, rows, ticks
 from tickloom.operators import bars, filters, ordered
 from tickloom.plans import refresh, views
-from tickloom.schema import BAR_FIELDS, FLAT_TICK
+from tickloom.schema import BAR_FIELDS, FLAT_TICK, RAW_TICK
 from tickloom.sources import lines
 from tickloom.sources.store import TickStore, merge_bars
 
@@ -24,47 +26,103 @@ def test_merge_lets_new_values_win_and_keeps_what_is_absent(spark):
     assert rows(merge_bars(merged, new), "Symbol", "time") == rows(merged, "Symbol", "time")
 
 
-@pytest.mark.parametrize("hourly", [frozenset(), frozenset({"5sec-monitor"})])
-def test_upsert_rewrites_only_late_partitions(spark, tmp_path, hourly):
-    store = TickStore(spark, str(tmp_path), hourly)
+def test_upsert_writes_its_own_rows_only(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
     day = 86400.0
     first = bars.tick_bars(ticks(spark, [("A", 1.0, 1.0, 0.0, 1), ("A", 2.0, 1.0, day, 2)]), "5 seconds")
     assert store.scan_bars("5 seconds").count() == 0
     store.write_bars("5 seconds", first)
-    old_files = set((tmp_path / "5sec-monitor" / "date=2024-03-04").rglob("*.parquet"))
+    old_files = set((tmp_path / "5sec-monitor").rglob("*.parquet"))
     late = bars.tick_bars(ticks(spark, [("A", 7.0, 1.0, day, 2), ("A", 3.0, 1.0, day + 5, 3)]), "5 seconds")
     for _ in range(2):
-        store.upsert_bars("5 seconds", late, at(day))
+        store.upsert_bars("5 seconds", late)
         assert [r.Close for r in store.scan_bars("5 seconds").orderBy("time").collect()] == [1.0, 7.0, 3.0]
-    assert set((tmp_path / "5sec-monitor" / "date=2024-03-04").rglob("*.parquet")) == old_files
+    now = set((tmp_path / "5sec-monitor").rglob("*.parquet"))
+    assert old_files < now and not any("2024-03-04" in str(f) for f in now - old_files)
+    assert sum(spark.read.parquet(str(f)).count() for f in now - old_files) == 4
 
 
-@pytest.mark.parametrize("hourly", [frozenset(), frozenset({"1m-monitor"})])
-def test_scans_prune_partitions(spark, tmp_path, hourly):
-    store = TickStore(spark, str(tmp_path), hourly)
+def test_half_a_write_never_leaves_fewer_bars(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    old = bars.tick_bars(ticks(spark, [("A", float(i), 1.0, 5.0 * i, i) for i in range(40)]), "5 seconds")
+    store.write_bars("5 seconds", old)
+    fresh = bars.tick_bars(ticks(spark, [("A", 100.0 + i, 1.0, 5.0 * i, i) for i in range(40)]), "5 seconds")
+    broken = fresh.repartition(8).withColumn("Close", F.when(F.col("time") < F.lit(at(150)), F.col("Close")).otherwise(
+        F.raise_error(F.lit("lost")).cast("double")))
+    with pytest.raises(Exception, match="lost"):
+        store.upsert_bars("5 seconds", broken)
+    assert [r.Close for r in store.scan_bars("5 seconds").orderBy("time").collect()] == [float(i) for i in range(40)]
+    store.upsert_bars("5 seconds", fresh)
+    files = sorted((tmp_path / "5sec-monitor").rglob("*.parquet"))
+    assert files
+    version = max(p.name for p in (tmp_path / "5sec-monitor" / "date=2024-03-04").iterdir())
+    for file in list((tmp_path / "5sec-monitor" / "date=2024-03-04" / version).glob("*.parquet"))[:1]:
+        file.unlink()  # as if the commit had stopped before it
+    assert store.scan_bars("5 seconds").count() == 40
+
+
+def test_compaction_keeps_the_newest_values(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    day = 86400.0
+    for price in (1.0, 2.0, 3.0):
+        store.write_bars("5 seconds", bars.tick_bars(
+            ticks(spark, [("A", price, 1.0, 0.0, 1), ("B", price, 1.0, 5.0 * price, 1), ("A", price, 1.0, day, 2)]), "5 seconds"))
+    before = rows(store.scan_bars("5 seconds"), "Symbol", "time")
+    assert store.compact("5sec-monitor", date(2024, 3, 5)) == ["date=2024-03-04"]
+    assert len(list((tmp_path / "5sec-monitor" / "date=2024-03-04").iterdir())) == 1
+    assert len(list((tmp_path / "5sec-monitor" / "date=2024-03-05").iterdir())) == 3
+    assert rows(store.scan_bars("5 seconds"), "Symbol", "time") == before
+    assert store.compact("5sec-monitor", date(2024, 3, 5)) == []
+
+
+def test_tick_batches_add_up_replace_themselves_and_join(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    part = lambda n: flat(spark, [("A", float(i), 1.0, i * 7000.0, i) for i in range(n, n + 20)])
+    store.append_ticks(part(0), "one", F.lit("2024-05-01").cast("timestamp"))
+    store.append_ticks(part(0), "one", F.lit("2024-05-01").cast("timestamp"))
+    store.append_ticks(part(20))
+    seqs = list(range(40))
+    assert [r.Seq for r in store.scan_ticks().orderBy("Seq").collect()] == seqs
+    assert store.scan_raw().filter("Spark_Time < '2024-06-01'").count() == 20
+    raw = tmp_path / "raw"
+    assert store.compact_ticks(date(2024, 3, 6)) and len(list((raw / "date=2024-03-05").iterdir())) == 1
+    assert [r.Seq for r in store.scan_ticks().orderBy("Seq").collect()] == seqs
+    (raw / "_joined").mkdir(exist_ok=True)
+    (raw / "date=2024-03-05").rename(raw / "_joined" / "date=2024-03-05")  # stopped between the two moves
+    store.recover_ticks()
+    assert [r.Seq for r in store.scan_ticks().orderBy("Seq").collect()] == seqs
+
+
+def test_append_makes_few_files(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    store.append_ticks(flat(spark, [("A", 1.0, 1.0, i * 3600.0, i) for i in range(240)]).repartition(16))
+    assert len(list((tmp_path / "raw").rglob("*.parquet"))) <= 2 * 10
+
+
+def test_scans_list_only_the_folders_in_range(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
     source = flat(spark, [("A", float(i), 1.0, i * 3600.0, i) for i in range(60)])
     store.append_ticks(source)
     store.write_bars("1 minute", bars.tick_bars(source, "1 minute"))
     now = filters.latest_moment(source)
-    assert store.scan_ticks(lookback="5 hours", now=now).count() == 6
-    assert store.scan_ticks().count() == 60
+    recent = store.scan_ticks(lookback="5 hours", now=now)
+    assert recent.count() == 6 and store.scan_ticks().count() == 60
+    assert all("date=2024-03-06" in f for f in recent.inputFiles())
     kept = store.scan_bars("1 minute", lookback="330 minutes", now=now, align="1 hour")
     assert kept.count() == 7
-    plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan or "PartitionFilters: [((date" in plan
-    assert "GreaterThanOrEqual(time" in plan
-
-
-def test_coarse_bars_are_laid_out_by_month(spark, tmp_path):
-    store = TickStore(spark, str(tmp_path))
-    month = 31 * 86400.0
-    store.write_bars("1 hour", bars.tick_bars(ticks(spark, [("A", 1.0, 1.0, 0.0, 1), ("A", 2.0, 1.0, month, 2)]), "1 hour"))
-    store.upsert_bars("1 hour", bars.tick_bars(ticks(spark, [("A", 3.0, 1.0, 86400.0, 3)]), "1 hour"), at(86400))
-    assert sorted(p.name for p in (tmp_path / "1h-monitor").glob("month=*")) == ["month=2024-03-01", "month=2024-04-01"]
-    assert [r.Close for r in store.scan_bars("1 hour").orderBy("time").collect()] == [1.0, 3.0, 2.0]
-    later = store.scan_bars("1 hour", since=at(month - 60))
-    assert later.count() == 1
-    assert "(month" in later._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
+    assert all("date=2024-03-06" in f for f in kept.inputFiles())
+    assert "GreaterThanOrEqual(time" in kept._jdf.queryExecution().executedPlan().toString()
+    plain = [d.name for d in (tmp_path / "raw").iterdir() if d.name.startswith("date=")]
+    listed = store._read("raw", RAW_TICK.fields, at(50 * 3600))
+    assert len(plain) == 3 and len({f.split("date=")[1][:10] for f in listed.inputFiles()}) == 1
+
+
+def test_raw_points_have_times_of_their_own(spark):
+    source = flat(spark, [("A", float(i), 1.0, 1.0, i % 7) for i in range(50)]).withColumn("Partition", F.lit(1))
+    points = lines.raw_points(source, F.col("Trade_Time"))
+    assert points.select("point_ns").distinct().count() == 50
+    texts = [r[0] for r in lines.to_line_protocol(points, "raw", lines.RAW_TAGS, lines.RAW_FIELDS, ns="point_ns").collect()]
+    assert all('Trade_Time="2024-03-04 18:00:01.000",Spark_Time="' in t for t in texts)
 
 
 def test_cascade_tables_equal_direct_bars(spark, tmp_path):

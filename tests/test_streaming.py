@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from tickloom.operators import bars, filters, messages, ordered, quality
 from tickloom.plans import views
 from tickloom.schema import BAR_FIELDS, FLAT_TICK
 from tickloom.sources import topics
-from tickloom.sources.store import MICROBATCH, RAW, TickStore
+from tickloom.sources.store import MICROBATCH, TickStore
 from tickloom.streaming import progress, queries
 
 MESSAGES_PER_FILE = 5
@@ -51,7 +53,7 @@ def test_raw_appends_each_tick_once_over_restarts(spark, flat, feed, tmp_path):
     for part in (None, 3, None):
         if part:
             add(part)
-        queries.start_raw(open_stream(), store.path(RAW), str(tmp_path / "cp"), "available now").awaitTermination()
+        queries.start_raw(open_stream(), store, str(tmp_path / "cp"), "available now").awaitTermination()
     columns = [c for c in FLAT_TICK.names if c != "Timestamp_Web"]
     assert same(store.scan_ticks(), millis(flat), columns)
 
@@ -74,39 +76,86 @@ def test_refresh_follows_the_raw_table(spark, flat, feed, tmp_path):
     for part in (None, 3):
         if part:
             add(part)
-        queries.start_raw(open_stream(), store.path(RAW), str(tmp_path / "raw"), "available now").awaitTermination()
+        queries.start_raw(open_stream(), store, str(tmp_path / "raw"), "available now").awaitTermination()
         queries.start_refresh(store, str(tmp_path / "refresh"), "available now").awaitTermination()
     for interval in ("5 seconds", "1 hour"):
         direct = ordered.moving_averages(bars.tick_bars(millis(flat), interval))
         assert same(store.scan_bars(interval), direct, direct.columns)
 
 
-def test_chained_windows_emit_closed_bars(spark, flat, feed, tmp_path):
+def test_every_level_of_the_cascade_emits_its_closed_bars(spark, flat, feed, tmp_path):
     add, open_stream = feed
     add(3)
     out = str(tmp_path / "out")
-    chained = queries.stream_cascade(open_stream(), delay="10 days")
-    queries.start_append(chained, out, str(tmp_path / "cp"), "available now").awaitTermination()
-    assert spark.read.schema(chained.schema).parquet(out).count() == 0
-    chained = queries.stream_cascade(open_stream(), ("5 seconds", "15 minutes"))
-    queries.start_append(chained, out + "2", str(tmp_path / "cp2"), "available now").awaitTermination()
-    limit = flat.agg(F.max("Trade_Time") - F.expr("interval 25 minutes")).first()[0]
-    direct = bars.tick_bars(millis(flat), "15 minutes").filter(F.col("time") <= F.lit(limit))
-    found = spark.read.schema(chained.schema).parquet(out + "2")
-    assert same(found, direct, ["Symbol", "time", *BAR_FIELDS])
+    queries.start_cascade(open_stream(), out, str(tmp_path / "cp"), delay="12 hours", trigger="available now")
+    for interval in bars.CASCADE:
+        found = queries.read_level(spark, out, interval)
+        direct = bars.tick_bars(millis(flat), interval)
+        assert found.count() > 0
+        assert found.select("Symbol", "time", *BAR_FIELDS).exceptAll(
+            direct.select("Symbol", "time", *BAR_FIELDS)).count() == 0
+    last = queries.read_level(spark, out, "1 hour").agg(F.max("time")).first()[0]
+    closed = bars.tick_bars(millis(flat), "1 hour").filter(F.col("time") <= F.lit(last))
+    assert same(queries.read_level(spark, out, "1 hour"), closed, ["Symbol", "time", *BAR_FIELDS])
+
+
+def test_late_ticks_are_counted_and_a_refresh_puts_them_right(spark, flat, tmp_path):
+    store = TickStore(spark, str(tmp_path / "store"))
+    path = str(tmp_path / "ticks")
+    days = [f"Trade_Time >= '2024-01-0{d}' AND Trade_Time < '2024-01-0{d + 1}'" for d in (3, 2, 1)]
+    for newest_first in days:
+        flat.drop("Position").filter(newest_first).coalesce(1).write.mode("append").parquet(path)
+    stream = lambda: spark.readStream.schema(flat.drop("Position").schema).option(
+        "maxFilesPerTrigger", 1).parquet(path)
+    query = queries.start_stream_bars(stream(), store, "1 hour", str(tmp_path / "cp"), trigger="available now")
+    query.awaitTermination()
+    log = progress.late_rows(progress.recent_progress(spark, query)).collect()
+    assert [r.name for r in log] == ["bars"] and log[0].late_rows > 0
+    direct = bars.tick_bars(flat, "1 hour")
+    columns = ["Symbol", "time", *BAR_FIELDS]
+    assert not same(store.scan_bars("1 hour"), direct, columns)
+    queries.start_raw(stream(), store, str(tmp_path / "raw"), "available now").awaitTermination()
+    queries.start_refresh(store, str(tmp_path / "refresh"), "available now").awaitTermination()
+    assert same(store.scan_bars("1 hour"), direct, columns)
+
+
+def test_batch_loads_and_streams_see_each_other(spark, flat, feed, tmp_path):
+    _, open_stream = feed
+    store = TickStore(spark, str(tmp_path / "store"))
+    store.append_ticks(flat.limit(7))
+    for checkpoint in ("cp", "cp", "other"):
+        queries.start_raw(open_stream(), store, str(tmp_path / checkpoint), "available now").awaitTermination()
+    streamed = open_stream().isStreaming and store.scan_raw().count() - 7
+    store.append_ticks(flat.limit(5))
+    assert streamed > 0 and streamed % 2 == 0  # two streams, each once
+    assert store.scan_ticks().count() == streamed + 12
+
+
+def test_a_period_triggers_batch_after_batch(spark, feed, tmp_path):
+    add, open_stream = feed
+    store = TickStore(spark, str(tmp_path / "store"))
+    query = queries.start_raw(open_stream(), store, str(tmp_path / "cp"), "1 second")
+    try:
+        deadline = time.time() + 60
+        while (query.lastProgress is None or query.lastProgress.batchId < 2) and time.time() < deadline:
+            if query.lastProgress is not None and query.lastProgress.batchId == 1:
+                add(3)
+            time.sleep(0.3)
+        assert query.isActive and query.lastProgress.batchId >= 2
+    finally:
+        query.stop()
+    assert store.scan_ticks().count() > 0
 
 
 def test_microbatch_bars_go_to_two_tables_and_a_repeat_changes_nothing(spark, flat, feed, tmp_path):
     _, open_stream = feed
     store = TickStore(spark, str(tmp_path / "store"))
     clock = moment_literal(filters.latest_moment(flat))
-    ever = flat.withColumn("Trade_Time", clock)
     for attempt in ("one", "two"):
-        stream = open_stream().withColumn("Trade_Time", clock)
-        queries.start_bars_batch(stream, store, str(tmp_path / attempt), [MICROBATCH, "5sec-monitor"],
+        queries.start_bars_batch(open_stream(), store, str(tmp_path / attempt), [MICROBATCH, "5sec-monitor"],
                                  "available now", clock).awaitTermination()
     one, two = (rows(store.scan_table(t), "Symbol", "time") for t in (MICROBATCH, "5sec-monitor"))
-    assert one == two and len(one) == ever.select("Symbol").distinct().count()
+    assert one == two and len(one) == flat.select("Symbol").distinct().count()
 
 
 def test_start_all_runs_both_queries_and_logs_progress(spark, flat, feed, tmp_path):
@@ -126,7 +175,7 @@ def test_start_all_runs_both_queries_and_logs_progress(spark, flat, feed, tmp_pa
         spark.streams.removeListener(log)
     log.flush()
     logged = progress.read_progress(spark, str(tmp_path / "log"))
-    assert {r[0] for r in logged.select("name").distinct().collect()} <= {"raw", "agg_5sec"}
+    assert {r[0] for r in logged.select("name").distinct().collect()} == {"raw", "agg_5sec"}
     assert store.scan_ticks().count() > 0
 
 

@@ -20,7 +20,7 @@ def test_ticks_of_the_universe_only(spark):
     source = ticks(spark, [("A", 1.0, 1.0, 0.0, 1), ("Z", 1.0, 1.0, 0.0, 2), ("B", 1.0, 1.0, 0.0, 3)])
     kept = universe.in_universe(source, universe.top_symbols(daily(spark)))
     assert [r[0] for r in rows(kept.select("Symbol"), "Symbol")] == ["A", "B"]
-    assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in kept._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_top_symbols_keeps_only_n_rows_per_task(spark):

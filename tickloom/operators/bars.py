@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,55 +21,19 @@ from tickloom.functions.times import (
 from tickloom.schema import BAR_FIELDS
 
 CASCADE = ("5 seconds", "1 minute", "5 minutes", "15 minutes", "1 hour")
-STREAM_CHAIN = ("5 seconds", "1 minute", "1 hour")
+# A rank of Seq lies in 0..2**64: 0 for a missing one, else Seq shifted to 1 and above.
+_SEQ_SHIFT, _SEQ_RANKS = 2 ** 63 + 1, 2 ** 65
 
 
-SeqRange = tuple[int, int]
+def _tick_key() -> Column:
+    """Order of ticks: trade time, then ``Seq``, a missing one first.
 
-
-def seq_range(ticks: DataFrame) -> SeqRange:
-    """Smallest and largest ``Seq``, for ``tick_bars``: reads that one column, returns one row."""
-    low, high = ticks.agg(F.min("Seq"), F.max("Seq")).first()
-    return (0, 0) if low is None else (low, high)
-
-
-def _seq_bits(seqs: SeqRange) -> int:
-    """Bits for a rank of 0 (no ``Seq``) up to the width of the range."""
-    return (seqs[1] - seqs[0] + 1).bit_length()
-
-
-def _fits(interval: str | timedelta, seqs: SeqRange) -> bool:
-    """Whether the offset in a bucket and the rank of ``Seq`` share one long."""
-    return span_micros(interval).bit_length() + _seq_bits(seqs) <= 63
-
-
-def _packed_step(interval: str, seqs: SeqRange | None) -> str | None:
-    """The longest interval for which ticks can be ordered by a packed key: the wanted one or a part of it."""
-    if seqs is None:
-        return None
-    parts = [i for i in reversed(CASCADE) if span(i) < span(interval) and not span(interval) % span(i)]
-    return next((i for i in [interval, *parts] if _fits(i, seqs)), None)
-
-
-def _tick_key(interval: str | timedelta, seqs: SeqRange | None) -> Column:
-    """Order of ticks inside one bucket: trade time, then ``Seq``, a missing one first.
-
-    As a struct it is always valid, but makes Spark sort all ticks (a struct cannot be updated in
-    place in a hash aggregate). With a proven range of ``Seq`` that leaves room, offset in the
-    bucket and rank in the range share one long and the plan is a hash aggregate.
+    Both share one decimal, which a hash aggregate can update in place (a struct it cannot: Spark would
+    sort all ticks).
     """
-    seq = F.col("Seq")
-    if seqs is None or not _fits(interval, seqs):
-        return F.struct("Trade_Time", "Seq")
-    low, high = (F.lit(bound).cast("bigint") for bound in seqs)
-    offset = F.pmod(F.unix_micros("Trade_Time"), F.lit(span_micros(interval)).cast("bigint"))
-    high_part = F.shiftleft(offset, _seq_bits(seqs))
-    outside = F.raise_error(F.lit("Seq lies outside the given range")).cast("bigint")
-    return (
-        F.when(seq.isNull(), high_part)
-        .when(seq.between(low, high), high_part + (seq - low + 1))
-        .otherwise(outside)
-    )
+    whole = lambda n: F.lit(str(n)).cast("decimal(20,0)")
+    rank = F.coalesce(F.col("Seq").cast("decimal(20,0)") + whole(_SEQ_SHIFT), whole(0))
+    return F.unix_micros("Trade_Time").cast("decimal(18,0)") * whole(_SEQ_RANKS) + rank
 
 
 def _clean(number: str) -> Column:
@@ -100,21 +64,14 @@ def _rolled() -> list[Column]:
     ]
 
 
-def tick_bars(ticks: DataFrame, interval: str, seqs: SeqRange | None = None,
-              ingest_times: bool = False) -> DataFrame:
+def tick_bars(ticks: DataFrame, interval: str, ingest_times: bool = False) -> DataFrame:
     """Event-time tumbling bars per symbol, left-closed, labelled by the bucket start.
 
     Only buckets that hold a tick appear. Ticks are combined before the shuffle, so a hot symbol
     costs one row per bucket and task. ``ingest_times`` adds first and last ingest time, which are
     compared as instants and written back as ISO text. On a stream the same call is stateful; give
     the stream a watermark on ``Trade_Time`` first.
-
-    ``seqs``, a range that holds every ``Seq`` (see ``seq_range``), lets the aggregate hash instead
-    of sort. Where it is too wide for long buckets, shorter bars are hashed first and rolled up.
     """
-    step = None if ticks.isStreaming or ingest_times else _packed_step(interval, seqs)
-    if step is not None and step != interval:
-        return rollup_bars(tick_bars(ticks, step, seqs), interval)
     if ticks.isStreaming:
         bucket = F.window("Trade_Time", interval)
         label = F.col("bucket.start")
@@ -122,7 +79,7 @@ def tick_bars(ticks: DataFrame, interval: str, seqs: SeqRange | None = None,
         ticks = ticks.filter(F.col("Trade_Time").isNotNull())
         bucket = bucket_micros("Trade_Time", interval)
         label = F.timestamp_micros("bucket")
-    aggregates = _ohlcv(_clean("Price"), _clean("Volume"), _tick_key(interval, seqs))
+    aggregates = _ohlcv(_clean("Price"), _clean("Volume"), _tick_key())
     extra = []
     if ingest_times:
         ingest = parse_time("Timestamp_Web")
@@ -147,8 +104,7 @@ def rollup_bars(bars: DataFrame, interval: str, within: Sequence[str] = ()) -> D
     )
 
 
-def bar_cascade(ticks: DataFrame, intervals: Sequence[str] = CASCADE,
-                seqs: SeqRange | None = None) -> dict[str, DataFrame]:
+def bar_cascade(ticks: DataFrame, intervals: Sequence[str] = CASCADE) -> dict[str, DataFrame]:
     """Each interval's bars, rolled up from the one before, lazily.
 
     Ticks are aggregated once; the finest bars are then laid out by (Symbol, coarsest bucket) and
@@ -156,7 +112,7 @@ def bar_cascade(ticks: DataFrame, intervals: Sequence[str] = CASCADE,
     holds at most coarsest/finest bars. To write all levels, write the finest table first and
     start from it (``store.write_cascade``), or each level scans the ticks again.
     """
-    return rollup_cascade(tick_bars(ticks, intervals[0], seqs), intervals)
+    return rollup_cascade(tick_bars(ticks, intervals[0]), intervals)
 
 
 def rollup_cascade(finest: DataFrame, intervals: Sequence[str] = CASCADE) -> dict[str, DataFrame]:
@@ -192,18 +148,17 @@ def bar_pyramid(finest: DataFrame, intervals: Sequence[str] = CASCADE[1:]) -> Da
 
 
 def microbatch_bars(ticks: DataFrame, now: datetime | Column, interval: str = "5 seconds") -> DataFrame:
-    """One bar per symbol over the ticks of the last ``interval``, labelled by processing time.
+    """One bar per symbol over all ticks given, labelled by processing time.
 
     The label is the bucket before the one that holds ``now``. Start and end are the smallest and
-    largest ingest texts.
+    largest ingest texts. To look at the newest ticks only, filter with ``filters.recent`` first: in a
+    stream that would lose the older ticks of a late batch.
     """
     at = now if isinstance(now, Column) else moment_literal(now)
-    seconds = F.make_dt_interval(secs=F.lit(span(interval).total_seconds()))
     return (
-        ticks.filter(F.col("Trade_Time") >= at - seconds)
-        .groupBy("Symbol")
+        ticks.groupBy("Symbol")
         .agg(
-            *_ohlcv(_clean("Price"), _clean("Volume"), F.struct("Trade_Time", "Seq")),
+            *_ohlcv(_clean("Price"), _clean("Volume"), _tick_key()),
             F.min("Timestamp_Web").alias("Start_Time"),
             F.max("Timestamp_Web").alias("End_Time"),
             F.max(at).alias("now"),
@@ -213,23 +168,12 @@ def microbatch_bars(ticks: DataFrame, now: datetime | Column, interval: str = "5
     )
 
 
-def chained_bars(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN,
-                 seqs: SeqRange | None = None) -> DataFrame:
-    """Bars of the last interval from a watermarked stream, each level windowed over the one before.
+def next_level(bars: DataFrame, finer: str, interval: str) -> DataFrame:
+    """Coarser bars of a stream of finished finer bars, append output.
 
-    Append output: a coarse bar appears once the watermark has passed its end. The levels in between
-    do not change the result. Spark pushes every level's null check down to the ticks, where it grows
-    fourfold per level, so keep the chain short.
+    A finer bar counts at its last instant, so a coarse bar appears once a later fine bar has closed.
     """
-    bars = (
-        ticks.groupBy("Symbol", F.window("Trade_Time", intervals[0]).alias("bucket"))
-        .agg(*_ohlcv(_clean("Price"), _clean("Volume"), _tick_key(intervals[0], seqs)))
-    )
-    for interval in intervals[1:]:
-        bars = (
-            bars.select("Symbol", F.col("bucket.start").alias("time"),
-                        F.window_time("bucket").alias("closed"), *BAR_FIELDS)
-            .groupBy("Symbol", F.window("closed", interval).alias("bucket"))
-            .agg(*_rolled())
-        )
-    return bars.select("Symbol", F.col("bucket.start").alias("time"), *BAR_FIELDS)
+    closing = F.col("time") + F.make_dt_interval(secs=F.lit(span(finer).total_seconds() - 1e-6))
+    timed = bars.withColumn("closing", closing).withWatermark("closing", "0 seconds")
+    rolled = timed.groupBy("Symbol", F.window("closing", interval).alias("bucket")).agg(*_rolled())
+    return rolled.select("Symbol", F.col("bucket.start").alias("time"), *BAR_FIELDS)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.times import bucket_micros
 from tickloom.schema import MA_WINDOWS
-from tickloom.session import broadcast_if_small, materialize
+from tickloom.session import materialize
 
 
 Extend = Callable[[DataFrame, WindowSpec], DataFrame]
@@ -118,6 +118,6 @@ def assign_seq(df: DataFrame, feed: Sequence[str], order: Sequence[str],
     match = F.col("_segment") == F.col("_s")
     for k, r in renamed.items():
         match = match & F.col(k).eqNullSafe(F.col(r))
-    numbered = placed.join(broadcast_if_small(starts), match)
+    numbered = placed.join(starts, match)
     kept = [c for c in df.columns if c != name]
     return numbered.select(*kept, (F.col("_id") + F.col("_shift")).alias(name))

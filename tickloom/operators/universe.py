@@ -7,8 +7,6 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.session import broadcast_if_small, materialize
-
 
 def daily_volume(ticks: DataFrame) -> DataFrame:
     """Volume per day and symbol, as the table ``scan_daily_volume`` reads."""
@@ -29,6 +27,5 @@ def top_symbols(daily: DataFrame, n: int = 50) -> DataFrame:
 
 
 def in_universe(ticks: DataFrame, top: DataFrame) -> DataFrame:
-    """Ticks of the given symbols. The list is computed once; it is broadcast only if small."""
-    symbols = broadcast_if_small(materialize(top.select("Symbol").distinct()))
-    return ticks.join(symbols, "Symbol", "left_semi")
+    """Ticks of the given symbols. Adaptive execution broadcasts the list if its bytes are few."""
+    return ticks.join(top.select("Symbol"), "Symbol", "left_semi")

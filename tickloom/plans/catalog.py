@@ -58,7 +58,7 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bars(ticks: DataFrame, interval: str, **options) -> DataFrame:
-    return bars.tick_bars(ticks, interval, seqs=bars.seq_range(ticks), **options)
+    return bars.tick_bars(ticks, interval, **options)
 
 
 def _available(spark: SparkSession, name: str) -> tuple[TickStore, str]:
@@ -182,7 +182,7 @@ def _register_rollup(name: str, interval: str) -> None:
     def run(spark, sf_dir):
         ticks = _plain(spark, sf_dir)
         levels = bars.CASCADE[:bars.CASCADE.index(interval) + 1]
-        return bars.bar_cascade(ticks, levels, bars.seq_range(ticks))[interval]
+        return bars.bar_cascade(ticks, levels)[interval]
 
 
 _register_rollup("rollup_1m", "1 minute")
@@ -196,21 +196,23 @@ def bar_pyramid(spark, sf_dir):
     return bars.bar_pyramid(_bars(_plain(spark, sf_dir), "5 seconds"))
 
 
-@query("bar_tables")
-def bar_tables(spark, sf_dir):
-    store, _ = _available(spark, "bar_tables")
-    ticks = _plain(spark, sf_dir)
-    store.write_cascade(ticks, seqs=bars.seq_range(ticks))
-    levels = [
-        store.scan_bars(i).select(F.lit(i).alias("interval"), "Symbol", "time", *BAR_FIELDS)
-        for i in bars.CASCADE
-    ]
+def _all_levels(store: TickStore) -> DataFrame:
+    """The bars of every level with their interval."""
+    levels = [store.scan_bars(i).withColumn("interval", F.lit(i)) for i in bars.CASCADE]
     combined = levels[0]
     for level in levels[1:]:
         combined = combined.unionByName(level)
     return combined
 
 
+@query("bar_tables")
+def bar_tables(spark, sf_dir):
+    store, _ = _available(spark, "bar_tables")
+    ticks = _plain(spark, sf_dir)
+    store.write_cascade(ticks)
+    return _all_levels(store).drop(*MA_NAMES)
+
+
 @query("recent_ticks")
 def recent_ticks(spark, sf_dir):
     ticks = _plain(spark, sf_dir)
@@ -281,8 +283,16 @@ def line_protocol(spark, sf_dir):
 
 @query("line_protocol_raw")
 def line_protocol_raw(spark, sf_dir):
-    fields = ["Trade_type", "Price", "Volume", "Timestamp_Web", "Hash_Web", "Hash_Spark", "Seq", "Offset"]
-    return lines.to_line_protocol(_flat(spark, sf_dir), RAW, ["Symbol", "Partition"], fields, ts="Trade_Time")
+    ticks = _flat(spark, sf_dir)
+    points = lines.raw_points(ticks, times.moment_literal(filters.latest_moment(ticks)))
+    return lines.to_line_protocol(points, RAW, lines.RAW_TAGS, lines.RAW_FIELDS, ns="point_ns")
+
+
+@query("raw_point_times")
+def raw_point_times(spark, sf_dir):
+    ticks = views.lineitem_ticks(spark, sf_dir)
+    unique = lines.unique_ns(ticks, "Trade_Time", ["Symbol"], ["Seq", "Volume"])
+    return unique.select("Symbol", "Seq", "Volume", "point_ns")
 
 
 @query("upsert_bars")
@@ -317,9 +327,17 @@ def refresh_bars(spark, sf_dir):
     store, _ = _available(spark, "refresh_bars")
     ticks = _flat(spark, sf_dir)
     store.append_ticks(ticks)
-    store.write_cascade(ticks, seqs=bars.seq_range(ticks))
+    store.write_cascade(ticks)
     refresh.refresh_bars(store, filters.latest_moment(ticks))
-    return store.scan_bars("1 hour")
+    return _all_levels(store)
+
+
+@query("latency_stored")
+def latency_stored(spark, sf_dir):
+    store, _ = _available(spark, "latency_stored")
+    ticks = _flat(spark, sf_dir)
+    store.append_ticks(ticks, clock=times.moment_literal(filters.latest_moment(ticks)))
+    return quality.latency(store.scan_raw(), spark_time=F.col("Spark_Time"))
 
 
 # Feed health ------------------------------------------------------------------------------------
@@ -371,7 +389,20 @@ def _flat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_raw(spark, sf_dir):
     store, checkpoints = _available(spark, "stream_raw")
     ticks = _flat_stream(spark, sf_dir)
-    streams.start_raw(ticks, store.path(RAW), checkpoints, "available now").awaitTermination()
+    streams.start_raw(ticks, store, checkpoints, "available now").awaitTermination()
+    return store.scan_ticks().withColumn("Trade_type", F.to_json("Trade_type"))
+
+
+@query("raw_backfill")
+def raw_backfill(spark, sf_dir):
+    """A stream, a batch load of its own half of the ticks, and the stream again."""
+    store, checkpoints = _available(spark, "raw_backfill")
+    even = views.replay(spark, sf_dir, store.path("feed"), parts=2)
+    for step in range(2):
+        stream = views.flat_ticks(even(step)).filter("Seq % 2 = 0")
+        streams.start_raw(stream, store, checkpoints, "available now").awaitTermination()
+        if step == 0:
+            store.append_ticks(_flat(spark, sf_dir).filter("Seq % 2 = 1"))
     return store.scan_ticks().withColumn("Trade_type", F.to_json("Trade_type"))
 
 
@@ -389,8 +420,10 @@ def stream_microbatch(spark, sf_dir):
 @query("stream_bars")
 def stream_bars(spark, sf_dir):
     store, checkpoints = _available(spark, "stream_bars")
-    ticks = views.plain_ticks(views.stream_events(spark, sf_dir))
-    streams.start_stream_bars(ticks, store, "1 hour", checkpoints, trigger="available now").awaitTermination()
+    feed = views.replay(spark, sf_dir, store.path("feed"), parts=4, by=F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    ticks = views.plain_ticks(feed(3))
+    streams.start_stream_bars(ticks, store, "1 hour", checkpoints, delay="400 days",
+                              trigger="available now").awaitTermination()
     return store.scan_bars("1 hour").drop(*MA_NAMES)
 
 
@@ -398,16 +431,19 @@ def stream_bars(spark, sf_dir):
 def stream_refresh_ma(spark, sf_dir):
     store, checkpoints = _available(spark, "stream_refresh_ma")
     ticks = _flat_stream(spark, sf_dir)
-    streams.start_raw(ticks, store.path(RAW), f"{checkpoints}/raw", "available now").awaitTermination()
+    streams.start_raw(ticks, store, f"{checkpoints}/raw", "available now").awaitTermination()
     streams.start_refresh(store, f"{checkpoints}/refresh", "available now").awaitTermination()
-    return store.scan_bars("1 hour")
+    return _all_levels(store)
 
 
 @query("stream_cascade")
 def stream_cascade(spark, sf_dir):
     store, checkpoints = _available(spark, "stream_cascade")
-    ticks = views.plain_ticks(views.stream_events(spark, sf_dir))
-    path = store.path("cascade")
-    coarse = streams.stream_cascade(ticks)
-    streams.start_append(coarse, path, checkpoints, "available now").awaitTermination()
-    return spark.read.schema(coarse.schema).parquet(path)
+    feed = views.replay(spark, sf_dir, store.path("feed"), parts=4)
+    root = store.path("cascade")
+    streams.start_cascade(views.plain_ticks(feed(3)), root, checkpoints, delay="10 days", trigger="available now")
+    levels = [streams.read_level(spark, root, i).withColumn("interval", F.lit(i)) for i in bars.CASCADE]
+    combined = levels[0]
+    for level in levels[1:]:
+        combined = combined.unionByName(level)
+    return combined

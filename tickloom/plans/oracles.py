@@ -79,7 +79,7 @@ bars AS (
            arg_max("Price", ("Trade_Time", "Seq")) AS "Close", sum("Volume") AS "Total_Volume",
            strftime(any_value(now) + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S.%g') AS "Spark_Time",
            min("Timestamp_Web") AS "Start_Time", max("Timestamp_Web") AS "End_Time"
-    FROM ticks, last WHERE "Trade_Time" >= now - INTERVAL 5 SECOND GROUP BY 1)
+    FROM ticks, last GROUP BY 1)
 """
 
 YESTERDAY_TOP = f"""WITH ticks AS ({LINEITEM}),
@@ -110,6 +110,43 @@ SELECT {prefix}gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) AS ga
 FROM paired WHERE gap_end - gap_start > INTERVAL '{threshold}'"""
 
 
+CLOCK = "strftime({} + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S.%g')"
+
+
+def point_ns(tags: str, order: str) -> str:
+    return f"""(epoch_us("Trade_Time") // 1000 * 1000000 + row_number() OVER (
+        PARTITION BY {tags}, epoch_us("Trade_Time") // 1000 ORDER BY "Trade_Time", {order}) - 1)"""
+
+
+def all_averaged(since: dict[str, str] | None = None) -> str:
+    """All levels with averages; ``since``: how long before the newest tick averages begin, if not at once."""
+    parts = []
+    for interval in ("5 seconds", "1 minute", "5 minutes", "15 minutes", "1 hour"):
+        edge = "TIMESTAMP '1900-01-01'"
+        if since:
+            edge = (f"(SELECT time_bucket(INTERVAL '{interval}', max(\"Trade_Time\") - INTERVAL '{since[interval]}') "
+                    "FROM ticks)")
+        shown = ", ".join(f'CASE WHEN "time" >= {edge} THEN "MA_{n}" END AS "MA_{n}"' for n in (5, 10, 20, 60))
+        parts.append(f"""SELECT '{interval}' AS "interval", "Symbol", "time", {ROUNDED}, {shown}
+FROM (SELECT *, {averages()} FROM ({bars(interval)}))""")
+    return f"WITH ticks AS ({PLAIN}) " + " UNION ALL ".join(parts)
+
+
+def closed_levels(delay: str) -> str:
+    """Bars of each level that are finished when the newest tick, less ``delay``, has been seen."""
+    steps, shown = [f"ticks AS ({PLAIN})"], []
+    limit = f"""(SELECT max("Trade_Time") - INTERVAL '{delay}' FROM ticks)"""
+    for place, interval in enumerate(("5 seconds", "1 minute", "5 minutes", "15 minutes", "1 hour")):
+        steps.append(f"""level{place} AS (SELECT * FROM ({bars(interval)})
+            WHERE "time" + INTERVAL '{interval}' <= {limit})""")
+        limit = f"""(SELECT max("time" + INTERVAL '{interval}') - INTERVAL '1 millisecond' FROM level{place})"""
+        shown.append(f"""SELECT '{interval}' AS "interval", "Symbol", "time", {ROUNDED} FROM level{place}""")
+    return "WITH " + ", ".join(steps) + " " + " UNION ALL ".join(shown)
+
+
+LOOKBACKS = {"5 seconds": "10 minutes", "1 minute": "2 hours", "5 minutes": "4 hours", "15 minutes": "8 hours",
+             "1 hour": "70 hours"}
+
 ORACLES: dict[str, str] = {
     "flatten_ticks": f"""WITH ticks AS ({FLAT})
 SELECT "Trade_type", round("Price", 4) AS "Price", "Symbol", round("Volume", 4) AS "Volume",
@@ -188,11 +225,14 @@ FROM averaged""",
     "line_protocol_raw": f"""WITH ticks AS ({FLAT})
 SELECT 'raw,Symbol=' || "Symbol" || ',Partition=' || CAST("Partition" AS VARCHAR)
        || ' Trade_type="' || replace("Trade_type", '"', '\\"') || '",Price=' || CAST("Price" AS VARCHAR)
-       || ',Volume=' || CAST("Volume" AS VARCHAR) || ',Timestamp_Web="' || "Timestamp_Web"
-       || '",Hash_Web="' || "Hash_Web" || '",Hash_Spark="' || "Hash_Spark"
+       || ',Volume=' || CAST("Volume" AS VARCHAR) || ',Trade_Time="' || {CLOCK.format('"Trade_Time"')}
+       || '",Timestamp_Web="' || "Timestamp_Web"
+       || '",Spark_Time="' || {CLOCK.format('(SELECT max("Trade_Time") FROM ticks)')} || '",Hash_Web="' || "Hash_Web" || '",Hash_Spark="' || "Hash_Spark"
        || '",Seq=' || CAST("Seq" AS VARCHAR) || ',Offset=' || CAST("Offset" AS VARCHAR)
-       || ' ' || CAST(epoch_us("Trade_Time") * 1000 AS VARCHAR) AS line
+       || ' ' || CAST({point_ns('"Symbol", "Partition"', '"Seq"')} AS VARCHAR) AS line
 FROM ticks""",
+    "raw_point_times": f"""WITH ticks AS ({LINEITEM})
+SELECT "Symbol", "Seq", "Volume", {point_ns('"Symbol"', '"Seq", "Volume"')} AS point_ns FROM ticks""",
     "upsert_bars": f"""WITH ticks AS ({PLAIN}), bars AS ({bars("1 hour")}),
 old AS (SELECT *, {averages((5,), None)} FROM bars),
 higher AS (SELECT * FROM ticks WHERE "Price" >= 10),
@@ -212,13 +252,7 @@ FROM ticks WHERE "Trade_Time" >= (SELECT max("Trade_Time") - INTERVAL 70 HOUR FR
     "scan_bars": f"""WITH ticks AS ({PLAIN}), bars AS ({bars("1 minute")})
 SELECT "Symbol", "time", {ROUNDED} FROM bars
 WHERE "time" >= (SELECT time_bucket(INTERVAL '5 minutes', max("Trade_Time") - INTERVAL 4 HOUR) FROM ticks)""",
-    "refresh_bars": f"""WITH ticks AS ({PLAIN}), bars AS ({bars("1 hour")}),
-averaged AS (SELECT *, {averages()} FROM bars),
-edge AS (SELECT time_bucket(INTERVAL '1 hour', max("Trade_Time") - INTERVAL 70 HOUR) AS start FROM ticks)
-SELECT "Symbol", "time", {ROUNDED},
-       CASE WHEN "time" >= start THEN "MA_5" END AS "MA_5", CASE WHEN "time" >= start THEN "MA_10" END AS "MA_10",
-       CASE WHEN "time" >= start THEN "MA_20" END AS "MA_20", CASE WHEN "time" >= start THEN "MA_60" END AS "MA_60"
-FROM averaged, edge""",
+    "refresh_bars": all_averaged(LOOKBACKS),
     "hash_mismatch": f"""WITH ticks AS ({FLAT})
 SELECT "Seq", "Symbol", "Hash_Web", "Hash_Spark" FROM ticks WHERE "Hash_Web" <> "Hash_Spark" """,
     "seq_gaps": f"""WITH ticks AS ({FLAT}),
@@ -241,6 +275,20 @@ ranked AS (
 SELECT "Symbol", count(*) AS n, min(ms) AS min_ms, round(avg(ms), 4) AS mean_ms, max(ms) AS max_ms,
        min(ms) FILTER (WHERE place >= ceil(CAST(0.5 AS DOUBLE) * total)) AS p50_ms,
        min(ms) FILTER (WHERE place >= ceil(CAST(0.95 AS DOUBLE) * total)) AS p95_ms
+FROM ranked GROUP BY 1""",
+    "latency_stored": f"""WITH seen AS (
+    SELECT event_type AS "Symbol",
+           CAST(floor((epoch_us(date_trunc('milliseconds', {INGEST})) - epoch_us(ts)) / 1000.0) AS BIGINT) AS ms,
+           floor((epoch_us((SELECT max(ts) FROM events)) - epoch_us(date_trunc('milliseconds', {INGEST}))) / 1000.0) AS leg
+    FROM events),
+ranked AS (
+    SELECT "Symbol", ms, leg, row_number() OVER (PARTITION BY "Symbol" ORDER BY ms) AS place,
+           count(*) OVER (PARTITION BY "Symbol") AS total
+    FROM seen)
+SELECT "Symbol", count(*) AS n, min(ms) AS min_ms, round(avg(ms), 4) AS mean_ms, max(ms) AS max_ms,
+       min(ms) FILTER (WHERE place >= ceil(CAST(0.5 AS DOUBLE) * total)) AS p50_ms,
+       min(ms) FILTER (WHERE place >= ceil(CAST(0.95 AS DOUBLE) * total)) AS p95_ms,
+       round(avg(leg), 4) AS spark_mean_ms
 FROM ranked GROUP BY 1""",
     "progress_offsets": f"""WITH ticks AS ({PLAIN})
 SELECT 'raw' AS "query", time_bucket(INTERVAL '1 hour', "Trade_Time") AS "timestamp", 'stock_data' AS topic,
@@ -254,13 +302,15 @@ FROM hourly GROUP BY "Partition" """,
     "stream_raw": f"""WITH ticks AS ({FLAT})
 SELECT "Trade_type", round("Price", 4) AS "Price", "Symbol", round("Volume", 4) AS "Volume", "Trade_Time",
        "Hash_Web", "Seq", "Timestamp_Web", "Offset", "Partition", "Hash_Spark"
+FROM ticks""",
+    "raw_backfill": f"""WITH ticks AS ({FLAT})
+SELECT "Trade_type", round("Price", 4) AS "Price", "Symbol", round("Volume", 4) AS "Volume", "Trade_Time",
+       "Hash_Web", "Seq", "Timestamp_Web", "Offset", "Partition", "Hash_Spark"
 FROM ticks""",
     "stream_microbatch": MICROBATCH + f"""SELECT "Symbol", "time", {ROUNDED}, "Spark_Time", "Start_Time", "End_Time",
        table_name
 FROM bars, (VALUES ('5sec'), ('5sec-monitor')) AS tables(table_name)""",
     "stream_bars": rounded_bars("1 hour"),
-    "stream_refresh_ma": averaged_bars("1 hour"),
-    "stream_cascade": f"""WITH ticks AS ({PLAIN}), bars AS ({bars("1 hour")})
-SELECT "Symbol", "time", {ROUNDED} FROM bars
-WHERE "time" + INTERVAL 1 HOUR <= (SELECT max("Trade_Time") - INTERVAL 10 MINUTE FROM ticks)""",
+    "stream_refresh_ma": all_averaged(),
+    "stream_cascade": closed_levels("10 days"),
 }

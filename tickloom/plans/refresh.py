@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.times import floor_moment, lookback_start, moment_literal, span
-from tickloom.operators.bars import rollup_bars, seq_range, tick_bars
+from tickloom.operators.bars import rollup_bars, tick_bars
 from tickloom.operators.ordered import moving_averages
 from tickloom.schema import BAR_FIELDS, MA_WINDOWS
 from tickloom.sources.store import BAR_TABLES, LEVELS, TickStore
 
-PLAIN_WINDOW_BARS = 50_000
 # How far back earlier bars are looked for, in multiples of the longest average, before all are read.
 REACH = 64
 
@@ -52,15 +51,14 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
     """Recompute one table's bars from the bucket of ``since`` on and merge them in.
 
     Averages at the start of the range also use the stored bars before it: as far back as needed, or
-    only those of the last ``history``. ``until`` (the newest event time, if known) tells how many bars a symbol
-    can have in the range.
+    only those of the last ``history`` (then averages that need more keep their stored value).
     """
     start = floor_moment(since, interval)
     order = list(BAR_TABLES)
     place = order.index(interval)
     if place == 0:
         ticks = store.scan_ticks(since=start)
-        bars = tick_bars(ticks, interval, seq_range(ticks))
+        bars = tick_bars(ticks, interval)
     else:
         bars = rollup_bars(store.scan_bars(order[place - 1], since=start), interval)
     bars = bars.persist()
@@ -73,11 +71,10 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
         else:
             earlier = _earlier_bars(store, interval, start, bars.select("Symbol").distinct(), depth)
         joined = bars.unionByName(earlier, allowMissingColumns=True)
-        few = until is not None and (until - start) / span(interval) <= PLAIN_WINDOW_BARS
-        averaged = moving_averages(joined, windows, segment=None if few else "30 days")
+        averaged = moving_averages(joined, windows)
         fresh = averaged.filter(F.col("time") >= moment_literal(start))
         columns = ["Symbol", "time", *BAR_FIELDS, *[f"MA_{n}" for n in windows]]
-        store.upsert_bars(interval, fresh.select(*columns), start)
+        store.upsert_bars(interval, fresh.select(*columns))
     finally:
         bars.unpersist()
 
@@ -98,13 +95,6 @@ def refresh_since(store: TickStore, since: datetime, until: datetime, history: s
         refresh_level(store, interval, since, until, history)
 
 
-def bounded_since(oldest: datetime, newest: datetime, tolerance: str | None) -> datetime:
-    """Where a refresh must start, ignoring ticks that came later than ``tolerance``."""
-    if tolerance is None:
-        return oldest
-    return max(oldest, newest - span(tolerance))
-
-
 def whole_range(df: DataFrame, ts: str = "Trade_Time") -> tuple[datetime, datetime] | None:
     """Oldest and newest event time: one row comes back."""
     low, high = df.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()

@@ -6,6 +6,8 @@ filter and the scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +78,29 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def replay(spark: SparkSession, sf_dir: str, path: str, parts: int,
+           by: Column | None = None) -> Callable[[int], DataFrame]:
+    """The events written below ``path`` in ``parts`` steps, to be streamed one file per micro-batch.
+
+    By default the steps follow event time, else ``by`` names the step of a row. The result takes a
+    step: it writes what is missing up to it and opens all that is there as a stream.
+    """
+    events = read_events(spark, sf_dir)
+    if by is None:
+        low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+        width = max(1, ((high or 0) - (low or 0)) // parts + 1)
+        by = F.floor((F.unix_micros("ts") - F.lit(low or 0)) / width)
+    written = [0]
+
+    def upto(step: int) -> DataFrame:
+        while written[0] <= step:
+            events.filter(by == written[0]).write.mode("append").parquet(path)
+            written[0] += 1
+        return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+
+    return upto
+
+
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped lines as ticks of their supplier: day grain, so nearly every time is shared.
 

@@ -48,6 +48,9 @@ FLAT_TICK = T.StructType([
     T.StructField("Hash_Spark", T.StringType()),
 ])
 
+# The stored tick also has the processing time of its batch.
+RAW_TICK = T.StructType([*FLAT_TICK.fields, T.StructField("Spark_Time", T.TimestampType())])
+
 BAR_FIELDS = ["Open", "High", "Low", "Close", "Total_Volume"]
 MA_WINDOWS = (5, 10, 20, 60)
 
@@ -76,6 +79,10 @@ PROGRESS = T.StructType([
     ]))),
 ])
 
+# As logged: also what each stateful operator left out for being late.
+PROGRESS_LOG = T.StructType([*PROGRESS.fields, T.StructField("stateOperators", T.ArrayType(T.StructType([
+    T.StructField("numRowsDroppedByWatermark", T.LongType())])))])
+
 
 def tick_schema() -> str:
     """The wire schema as an Avro JSON document, for ``from_avro`` / ``to_avro``."""

@@ -6,9 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 200_000
 
 
 def build_session(app: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,12 +55,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when a count proves the side small; else leave the join to shuffle.
-
-    The count stops at ``max_rows + 1`` rows. Call it on a materialized or small side.
-    """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df

@@ -1,22 +1,29 @@
-"""Parquet tables of ticks and bars, laid out by date; coarse bars by month, chosen ones by hour.
+"""Parquet tables of ticks and bars, laid out by date; coarse bars by month.
 
-A time bound becomes both a partition filter and a pushed-down row filter.
+Every write is a new folder below its date: a batch of ticks, or a version of bars. Nothing that is stored
+is rewritten to add rows. Readers of bars take, per (Symbol, time) and field, the newest value that is not
+null; a write that breaks off half-way leaves old values beside some new ones, never fewer bars.
+``compact`` joins the folders of a period into one.
+
+A time bound becomes a list of partition folders, so older ones are not even listed, and a pushed-down row
+filter.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.times import floor_moment, lookback_start, moment_literal, utc
-from tickloom.operators.bars import CASCADE, SeqRange, rollup_bars, tick_bars
-from tickloom.schema import BAR, FLAT_TICK, INGEST_FIELDS
+from tickloom.functions.times import lookback_start, moment_literal, utc
+from tickloom.operators.bars import CASCADE, rollup_bars, tick_bars
+from tickloom.schema import BAR, FLAT_TICK, INGEST_FIELDS, RAW_TICK
 
 RAW = "raw"
 MICROBATCH = "5sec"
@@ -32,93 +39,96 @@ LEVELS = {
 BAR_TABLES = {interval: table for table, (interval, _) in LEVELS.items()}
 
 
-_PARTS = {"month": T.StructField("month", T.DateType()), "date": T.StructField("date", T.DateType()),
-          "hour": T.StructField("hour", T.IntegerType())}
 # Bars of these tables are so few that a day would make small files.
 MONTHLY = frozenset({"15m-monitor", "1h-monitor"})
 
 
 def _utc_parts(ts: str) -> dict[str, Column]:
-    """Month, date and hour of the UTC instant, whatever the session zone."""
-    hours = F.floor(F.unix_seconds(F.col(ts)) / 3600)
-    day = F.date_from_unix_date(F.floor(hours / 24).cast("int"))
-    return {"month": F.trunc(day, "month"), "date": day, "hour": F.pmod(hours, F.lit(24)).cast("int")}
+    """Month and date of the UTC instant, whatever the session zone."""
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col(ts)) / 86400).cast("int"))
+    return {"month": F.trunc(day, "month"), "date": day}
+
+
+def with_layout(df: DataFrame, ts: str, part: str) -> DataFrame:
+    return df.withColumn(part, _utc_parts(ts)[part])
+
 
+class Folders:
+    """The folders below a table's root, by the file system that Spark uses for it."""
 
-def with_layout(df: DataFrame, ts: str, parts: Sequence[str]) -> DataFrame:
-    columns = _utc_parts(ts)
-    return df.withColumns({p: columns[p] for p in parts})
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm, self.root = spark._jvm, root
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def names(self, below: str = "") -> list[str]:
+        at = self._path(f"{self.root}/{below}" if below else self.root)
+        if not self.fs.exists(at):
+            return []
+        found = [s.getPath().getName() for s in self.fs.listStatus(at) if s.isDirectory()]
+        return sorted(n for n in found if not n.startswith(("_", ".")))
 
-def _since(df: DataFrame, ts: str, start: datetime | None, parts: Sequence[str]) -> DataFrame:
-    if start is None:
-        return df
-    start = utc(start)
-    if parts == ["month"]:
-        bound = F.col("month") >= F.lit(start.date().replace(day=1))
-    else:
-        day = F.lit(start.date())
-        bound = F.col("date") >= day
-        if "hour" in parts:
-            bound = (F.col("date") > day) | ((F.col("date") == day) & (F.col("hour") >= start.hour))
-    return df.filter(bound).filter(F.col(ts) >= moment_literal(start))
+    def delete(self, below: str) -> None:
+        self.fs.delete(self._path(f"{self.root}/{below}"), True)
+
+    def move(self, source: str, target: str) -> None:
+        to = self._path(f"{self.root}/{target}")
+        self.fs.mkdirs(to.getParent())
+        if not self.fs.rename(self._path(f"{self.root}/{source}"), to):
+            raise OSError(f"cannot move {source} to {target} below {self.root}")
+
+    def exists(self, below: str) -> bool:
+        return self.fs.exists(self._path(f"{self.root}/{below}"))
 
 
 @dataclass(frozen=True)
 class TickStore:
-    """The tables below one root folder. One writer per table.
-
-    Bar tables named in ``hourly`` are laid out by date and hour: with very many symbols a refresh
-    of fine bars then rewrites an hour instead of a day.
-    """
+    """The tables below one root folder. One writer per bar table; any number for ticks."""
 
     spark: SparkSession
     root: str
-    hourly: frozenset[str] = frozenset()
-
-    def layout(self, table: str) -> list[str]:
-        if table in self.hourly:
-            return ["date", "hour"]
-        return ["month"] if table in MONTHLY else ["date"]
 
-    def partition_start(self, table: str, moment: datetime) -> datetime:
-        """Start of the partition that holds ``moment``."""
-        if "hour" in self.layout(table):
-            return floor_moment(moment, "1 hour")
-        day = floor_moment(moment, "1 day")
-        return day.replace(day=1) if "month" in self.layout(table) else day
+    def layout(self, table: str) -> str:
+        return "month" if table in MONTHLY else "date"
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _read(self, table: str, schema: str) -> DataFrame | None:
-        """The table, None before its first write."""
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def _read_or_empty(self, table: str, schema: str) -> DataFrame:
-        found = self._read(table, schema)
-        return self.spark.createDataFrame([], schema) if found is None else found
+    def folders(self, table: str) -> Folders:
+        return Folders(self.spark, self.path(table))
+
+    def _read(self, table: str, shape: Sequence[T.StructField], since: datetime | None) -> DataFrame:
+        """Rows of the partition folders from ``since`` on; only those folders are listed."""
+        part = self.layout(table)
+        first = None
+        if since is not None:
+            first = utc(since).date()
+            first = f"{part}={first.replace(day=1) if part == 'month' else first}"
+        names = [n for n in self.folders(table).names() if n.startswith(part) and (first is None or n >= first)]
+        schema = _ddl(shape)
+        if not names:
+            return self.spark.createDataFrame([], schema)
+        root = self.path(table)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{n}" for n in names])
 
     def has_bars(self, interval: str) -> bool:
-        return self._read(BAR_TABLES[interval], _ddl(BAR.fields)) is not None
+        return bool(self.folders(BAR_TABLES[interval]).names())
+
+    def scan_raw(self, lookback: str | None = None, now: datetime | None = None,
+                 since: datetime | None = None) -> DataFrame:
+        """Stored ticks with their processing time, all or since a moment."""
+        start = lookback_start(now, lookback) if lookback else since
+        return _from(self._read(RAW, RAW_TICK.fields, start), "Trade_Time", start)
 
     def scan_ticks(self, lookback: str | None = None, now: datetime | None = None,
                    since: datetime | None = None) -> DataFrame:
         """Stored ticks, all or since a moment."""
-        start = lookback_start(now, lookback) if lookback else since
-        ticks = self._read_or_empty(RAW, _ddl(FLAT_TICK.fields) + ", date date")
-        return _since(ticks, "Trade_Time", start, ["date"]).drop("date")
+        return self.scan_raw(lookback, now, since).select(*FLAT_TICK.names)
 
     def scan_table(self, table: str, since: datetime | None = None) -> DataFrame:
         """A bar table with all its fields, all or since a moment."""
-        parts = self.layout(table)
-        shape = [*BAR.fields, *INGEST_FIELDS] + [_PARTS[p] for p in parts]
-        return _since(self._read_or_empty(table, _ddl(shape)), "time", since, parts).drop(*parts)
+        shape = [*BAR.fields, *INGEST_FIELDS, T.StructField("version", T.LongType())]
+        return newest_values(_from(self._read(table, shape, since), "time", since))
 
     def scan_bars(self, interval: str, lookback: str | None = None, now: datetime | None = None,
                   since: datetime | None = None, align: str | None = None) -> DataFrame:
@@ -126,40 +136,85 @@ class TickStore:
         start = lookback_start(now, lookback, align) if lookback else since
         return self.scan_table(BAR_TABLES[interval], start).select(*BAR.names)
 
-    def append_ticks(self, ticks: DataFrame) -> None:
-        """Add ticks; tasks write the dates they hold, without a shuffle."""
-        laid = with_layout(ticks.select(*FLAT_TICK.names), "Trade_Time", ["date"])
-        laid.write.mode("append").partitionBy("date").parquet(self.path(RAW))
+    def append_ticks(self, ticks: DataFrame, batch: str | None = None, clock: Column | None = None) -> None:
+        """Add ticks as one batch: a folder per date, in files of even size.
 
-    def write_bars(self, interval: str, bars: DataFrame) -> None:
-        """Replace the partitions that ``bars`` covers."""
-        self.replace_partitions(BAR_TABLES[interval], bars)
-
-    def replace_partitions(self, table: str, rows: DataFrame) -> None:
-        """Overwrite just the partitions present in ``rows``. The rebalance keeps files even: small
-        partitions are joined into one file, large ones are split."""
-        parts = self.layout(table)
-        laid = with_layout(rows, "time", parts).hint("rebalance", *parts)
-        writer = laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*parts).parquet(self.path(table))
-
-    def upsert(self, table: str, new: DataFrame, since: datetime) -> None:
-        """Merge bars that all lie at or after ``since`` into the stored ones.
-
-        Only partitions from ``since`` on are read and rewritten. A dynamic overwrite puts its files
-        in place when all tasks are done, so the table may be read by the job that replaces its
-        partitions; lost executors only repeat tasks.
+        A batch that is written again under its own name replaces itself. ``clock``: the processing
+        time, by default now; ticks that have a ``Spark_Time`` keep it.
         """
-        stored = self.scan_table(table, self.partition_start(table, since))
-        self.replace_partitions(table, merge_bars(stored, new))
+        if "Spark_Time" not in ticks.columns:
+            ticks = ticks.withColumn("Spark_Time", clock if clock is not None else F.current_timestamp())
+        laid = with_layout(ticks.select(*RAW_TICK.names), "Trade_Time", "date").hint("rebalance", "date")
+        self._write(RAW, laid.withColumn("batch", F.lit(batch or f"load-{uuid.uuid4().hex}")), "batch")
+
+    def write_bars(self, interval: str, bars: DataFrame) -> None:
+        self.upsert(BAR_TABLES[interval], bars)
+
+    def upsert(self, table: str, new: DataFrame) -> None:
+        """Add a version of the bars in ``new``; nothing else is read or written."""
+        laid = with_layout(new, "time", self.layout(table)).hint("rebalance", self.layout(table))
+        self._write(table, laid.withColumn("version", F.lit(time.time_ns())), "version")
+
+    def upsert_bars(self, interval: str, new: DataFrame) -> None:
+        self.upsert(BAR_TABLES[interval], new)
+
+    def _write(self, table: str, rows: DataFrame, inner: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.layout(table), inner).parquet(self.path(table))
 
-    def upsert_bars(self, interval: str, new: DataFrame, since: datetime) -> None:
-        self.upsert(BAR_TABLES[interval], new, since)
+    def compact(self, table: str, before: date) -> list[str]:
+        """Join the versions of every period that ended before ``before``; returns the periods.
 
-    def write_cascade(self, ticks: DataFrame, intervals: Sequence[str] = CASCADE,
-                      seqs: SeqRange | None = None) -> None:
+        The joined version holds all values, so it is complete before older folders go; a run that
+        breaks off in between leaves both, which reads the same. Readers that began earlier may fail
+        when their files go and must start again.
+        """
+        folders, done = self.folders(table), []
+        shape = [*BAR.fields, *INGEST_FIELDS, T.StructField("version", T.LongType())]
+        for name in folders.names():
+            versions = folders.names(name)
+            if name >= f"{self.layout(table)}={before}" or len(versions) < 2:
+                continue
+            root = self.path(table)
+            rows = self.spark.read.schema(_ddl(shape)).option("basePath", root).parquet(f"{root}/{name}")
+            self.upsert(table, newest_values(rows))
+            for version in versions:
+                folders.delete(f"{name}/{version}")
+            done.append(name)
+        return done
+
+    def compact_ticks(self, before: date) -> list[str]:
+        """Join the batches of every day before ``before``; returns the days.
+
+        The joined day is written aside and put in place by two moves. ``recover_ticks``, which runs
+        first, ends what an earlier run left between them.
+        """
+        folders, done = self.folders(RAW), []
+        self.recover_ticks()
+        for name in folders.names():
+            if not name.startswith("date=") or name >= f"date={before}" or len(folders.names(name)) < 2:
+                continue
+            root = self.path(RAW)
+            rows = self.spark.read.schema(_ddl(RAW_TICK.fields)).parquet(f"{root}/{name}")
+            rows.hint("rebalance").write.mode("overwrite").parquet(
+                f"{root}/_joined/{name}/batch=joined-{uuid.uuid4().hex}")
+            folders.move(name, f"_old/{name}-{uuid.uuid4().hex}")
+            folders.move(f"_joined/{name}", name)
+            done.append(name)
+        folders.delete("_old")
+        return done
+
+    def recover_ticks(self) -> None:
+        """Put a joined day in place whose own folder was already moved away; drop other leftovers."""
+        folders = self.folders(RAW)
+        for name in folders.names("_joined"):
+            if not folders.exists(name):
+                folders.move(f"_joined/{name}", name)
+        folders.delete("_joined")
+
+    def write_cascade(self, ticks: DataFrame, intervals: Sequence[str] = CASCADE) -> None:
         """Build every level, each from the table just written, so ticks are scanned once."""
-        self.write_bars(intervals[0], tick_bars(ticks, intervals[0], seqs))
+        self.write_bars(intervals[0], tick_bars(ticks, intervals[0]))
         for finer, coarser in zip(intervals, intervals[1:]):
             self.write_bars(coarser, rollup_bars(self.scan_bars(finer), coarser))
 
@@ -168,15 +223,21 @@ def _ddl(fields: Iterable) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
+def _from(df: DataFrame, ts: str, start: datetime | None) -> DataFrame:
+    return df if start is None else df.filter(F.col(ts) >= moment_literal(utc(start)))
+
+
+def newest_values(versions: DataFrame) -> DataFrame:
+    """Per (Symbol, time) and field the value of the highest ``version`` that is not null."""
+    fields = [c for c in versions.columns if c not in ("Symbol", "time", "version", "date", "month")]
+    newest = [F.max_by(f, F.when(F.col(f).isNotNull(), F.col("version"))).alias(f) for f in fields]
+    return versions.groupBy("Symbol", "time").agg(*newest)
+
+
 def merge_bars(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Union by (Symbol, time); per field the new value wins, a null new value keeps the old.
 
     One shuffle over both sides: the two versions of a bar meet in a hash aggregate.
     """
-    fields = [c for c in dict.fromkeys([*existing.columns, *new.columns]) if c not in ("Symbol", "time")]
-    both = existing.withColumn("_version", F.lit(0)).unionByName(
-        new.withColumn("_version", F.lit(1)), allowMissingColumns=True)
-    newest = [
-        F.max_by(f, F.when(F.col(f).isNotNull(), F.col("_version"))).alias(f) for f in fields
-    ]
-    return both.groupBy("Symbol", "time").agg(*newest)
+    return newest_values(existing.withColumn("version", F.lit(0)).unionByName(
+        new.withColumn("version", F.lit(1)), allowMissingColumns=True))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tickloom.schema import PROGRESS
+from tickloom.schema import PROGRESS_LOG
 
 
 class ProgressLog(StreamingQueryListener):
@@ -48,11 +48,22 @@ class ProgressLog(StreamingQueryListener):
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """The log as a table; a source's end position stays JSON text."""
-    return spark.read.schema(PROGRESS).json(path)
+    return spark.read.schema(PROGRESS_LOG).json(path)
+
+
+def late_rows(progress: DataFrame) -> DataFrame:
+    """Per query, how many rows its stateful operators left out because the watermark had passed them.
+
+    Spark counts them after its first, partial aggregation, so several ticks may count as one row. Above
+    0, a refresh of the raw table from the oldest late tick puts the bars right.
+    """
+    dropped = F.aggregate("stateOperators", F.lit(0).cast("long"),
+                          lambda total, op: total + F.coalesce(op["numRowsDroppedByWatermark"], F.lit(0)))
+    return progress.groupBy("name").agg(F.coalesce(F.sum(dropped), F.lit(0)).alias("late_rows"))
 
 
 def recent_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The reports a running query still holds (a bounded number) as the same table."""
     lines = [(report.json,) for report in query.recentProgress]
     texts = spark.createDataFrame(lines, "value string")
-    return texts.select(F.from_json("value", PROGRESS).alias("report")).select("report.*")
+    return texts.select(F.from_json("value", PROGRESS_LOG).alias("report")).select("report.*")

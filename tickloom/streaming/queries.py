@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tickloom.operators.bars import STREAM_CHAIN, SeqRange, chained_bars, microbatch_bars, tick_bars
-from tickloom.plans.refresh import bounded_since, refresh_since, whole_range
-from tickloom.schema import FLAT_TICK
-from tickloom.sources.store import BAR_TABLES, MICROBATCH, RAW, TickStore, with_layout
+from tickloom.operators.bars import CASCADE, microbatch_bars, next_level, tick_bars
+from tickloom.plans.refresh import refresh_since, whole_range
+from tickloom.schema import FLAT_TICK, RAW_TICK
+from tickloom.sources.store import BAR_TABLES, MICROBATCH, RAW, TickStore
 
 BAR_TRIGGER = "5 seconds"
 LATE_BY = "10 minutes"
+LEVEL_DDL = "Symbol string, time timestamp, Open double, High double, Low double, Close double, Total_Volume double"
 
 
 def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -26,19 +27,31 @@ def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=trigger)
 
 
-def start_raw(ticks: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-              name: str = "raw") -> StreamingQuery:
-    """Append flat ticks to the raw table, exactly once, by date and without a shuffle."""
-    laid = with_layout(ticks.select(*FLAT_TICK.names), "Trade_Time", ["date"])
-    writer = laid.writeStream.queryName(name).format("parquet").outputMode("append")
-    writer = writer.partitionBy("date").option("checkpointLocation", checkpoint)
-    return _triggered(writer, trigger).start(path)
+def start_raw(ticks: DataFrame, store: TickStore, checkpoint: str, trigger: str | None = None,
+              clock: Column | None = None, name: str = "raw") -> StreamingQuery:
+    """Append flat ticks to the raw table, exactly once, beside any batch loads.
+
+    A micro-batch is one named batch of the table; repeated after a failure, it replaces itself. The
+    name holds the id that the checkpoint gives its query, so streams never replace one another.
+    """
+    owner: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not owner:
+            told = store.spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata")
+            owner.append(told.first()["id"])
+        store.append_ticks(batch, f"{owner[0]}-{batch_id}")
+
+    stamped = ticks.select(*FLAT_TICK.names).withColumn(
+        "Spark_Time", clock if clock is not None else F.current_timestamp())
+    writer = stamped.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, trigger).start()
 
 
 def start_bars_batch(ticks: DataFrame, store: TickStore, checkpoint: str,
                      tables: Sequence[str] = (MICROBATCH,), trigger: str | None = BAR_TRIGGER,
                      clock: Column | None = None, name: str = "agg_5sec") -> StreamingQuery:
-    """One bar per symbol and micro-batch, written to each of ``tables``.
+    """One bar per symbol and micro-batch over all its ticks, written to each of ``tables``.
 
     ``clock`` is the processing time; by default the batch's own time, which a retried batch keeps,
     so the retry writes the same keys. The aggregate is computed once for all tables.
@@ -48,11 +61,9 @@ def start_bars_batch(ticks: DataFrame, store: TickStore, checkpoint: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         bars = microbatch_bars(batch, F.col("_now")).persist()
         try:
-            labels = whole_range(bars, "time")
-            if labels is None:
-                return
-            for table in tables:
-                store.upsert(table, bars, since=labels[0])
+            if not bars.isEmpty():
+                for table in tables:
+                    store.upsert(table, bars)
         finally:
             bars.unpersist()
 
@@ -60,37 +71,33 @@ def start_bars_batch(ticks: DataFrame, store: TickStore, checkpoint: str,
     return _triggered(writer, trigger).start()
 
 
-def stream_bars(ticks: DataFrame, interval: str, delay: str = LATE_BY,
-                seqs: SeqRange | None = None) -> DataFrame:
-    """Event-time bars of a stream; ticks later than ``delay`` are dropped."""
-    return tick_bars(ticks.withWatermark("Trade_Time", delay), interval, seqs)
+def stream_bars(ticks: DataFrame, interval: str, delay: str = LATE_BY) -> DataFrame:
+    """Event-time bars of a stream.
+
+    Ticks later than ``delay`` behind the batch before are left out; the progress log counts them (``late_rows``), and a refresh
+    of the raw table puts them right.
+    """
+    return tick_bars(ticks.withWatermark("Trade_Time", delay), interval)
 
 
 def start_stream_bars(ticks: DataFrame, store: TickStore, interval: str, checkpoint: str,
                       delay: str = LATE_BY, trigger: str | None = BAR_TRIGGER,
-                      name: str = "bars", seqs: SeqRange | None = None) -> StreamingQuery:
-    """Keep the table of ``interval`` current: changed bars are merged in by (Symbol, time)."""
+                      name: str = "bars") -> StreamingQuery:
+    """Keep the table of ``interval`` current: changed bars are added as a new version."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.persist()
+        changed = batch.persist()  # else the state is worked on twice
         try:
-            labels = whole_range(changed, "time")
-            if labels is not None:
-                store.upsert(BAR_TABLES[interval], changed, since=labels[0])
+            if not changed.isEmpty():
+                store.upsert(BAR_TABLES[interval], changed)
         finally:
             changed.unpersist()
 
-    bars = stream_bars(ticks, interval, delay, seqs)
+    bars = stream_bars(ticks, interval, delay)
     writer = bars.writeStream.queryName(name).outputMode("update").foreachBatch(write)
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
-def stream_cascade(ticks: DataFrame, intervals: Sequence[str] = STREAM_CHAIN, delay: str = LATE_BY,
-                   seqs: SeqRange | None = None) -> DataFrame:
-    """Bars of the coarsest interval, each level windowed over the one before, append output."""
-    return chained_bars(ticks.withWatermark("Trade_Time", delay), intervals, seqs)
-
-
 def start_append(bars: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
                  name: str = "cascade") -> StreamingQuery:
     """Write finished bars of a stream to files."""
@@ -98,21 +105,42 @@ def start_append(bars: DataFrame, path: str, checkpoint: str, trigger: str | Non
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start(path)
 
 
-def start_refresh(store: TickStore, checkpoint: str, trigger: str | None = BAR_TRIGGER,
-                  tolerance: str | None = None, history: str | None = None,
-                  name: str = "refresh", options: dict[str, str] | None = None) -> StreamingQuery:
-    """Follow the raw table; after each batch of new files refresh all levels from the oldest new tick.
+def start_cascade(ticks: DataFrame, root: str, checkpoints: str, intervals: Sequence[str] = CASCADE,
+                  delay: str = LATE_BY, trigger: str | None = BAR_TRIGGER) -> list[StreamingQuery]:
+    """Finished bars of every level, one query each over the appended output of the level before.
 
-    ``tolerance`` leaves ticks alone that are older than that behind the newest of their batch.
+    The output of a level lies below ``root`` in a folder named after its interval. With the
+    "available now" trigger a level starts when the one before has ended.
     """
-    shape = with_layout(store.scan_ticks(), "Trade_Time", ["date"]).schema
+    spark, queries, level = ticks.sparkSession, [], stream_bars(ticks, intervals[0], delay)
+    for place, interval in enumerate(intervals):
+        folder = interval.replace(" ", "_")
+        path = f"{root.rstrip('/')}/{folder}"
+        queries.append(start_append(level, path, f"{checkpoints.rstrip('/')}/{folder}", trigger, f"cascade_{folder}"))
+        if trigger == "available now":
+            queries[-1].awaitTermination()
+        if place + 1 < len(intervals):
+            level = next_level(read_level(spark, root, interval, True), interval, intervals[place + 1])
+    return queries
+
+
+def read_level(spark: SparkSession, root: str, interval: str, stream: bool = False) -> DataFrame:
+    """The output of one level of ``start_cascade``."""
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(LEVEL_DDL).parquet(f"{root.rstrip('/')}/{interval.replace(' ', '_')}")
+
+
+def start_refresh(store: TickStore, checkpoint: str, trigger: str | None = BAR_TRIGGER,
+                  history: str | None = None, name: str = "refresh",
+                  options: dict[str, str] | None = None) -> StreamingQuery:
+    """Follow the raw table; after each batch of new files refresh all levels from the oldest new tick."""
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW_TICK) + ", date date, batch string"
     added = store.spark.readStream.schema(shape).options(**(options or {})).parquet(store.path(RAW))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         times = whole_range(batch)
         if times is not None:
-            oldest, newest = times
-            refresh_since(store, bounded_since(oldest, newest, tolerance), newest, history)
+            refresh_since(store, *times, history)
 
     writer = added.select("Trade_Time").writeStream.queryName(name).foreachBatch(refresh)
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
@@ -123,7 +151,7 @@ def start_all(ticks: DataFrame, store: TickStore, checkpoints: str, raw_trigger:
     """The raw query and the micro-batch bar query over one stream, each with its own checkpoint."""
     base = checkpoints.rstrip("/")
     return [
-        start_raw(ticks, store.path(RAW), f"{base}/raw", raw_trigger),
+        start_raw(ticks, store, f"{base}/raw", raw_trigger, clock),
         start_bars_batch(ticks, store, f"{base}/agg", trigger=bar_trigger, clock=clock),
     ]
 
