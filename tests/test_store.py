@@ -138,10 +138,10 @@ def test_refresh_from_a_moment_inside_a_bucket_keeps_the_oldest_bar(spark, tmp_p
     store = TickStore(spark, str(tmp_path))
     source = flat(spark, [("A", float(i), 1.0, i * 7.0, i) for i in range(400)])
     store.append_ticks(source)
-    refresh.refresh_since(store, at(0), at(2800))
+    refresh.refresh_since(store, at(0))
     before = {i: rows(store.scan_bars(i), "Symbol", "time") for i in bars.CASCADE}
     refresh.refresh_bars(store, at(2793.5))
-    refresh.refresh_since(store, at(1234.5), at(2793))
+    refresh.refresh_since(store, at(1234.5))
     for interval in bars.CASCADE:
         assert rows(store.scan_bars(interval), "Symbol", "time") == before[interval]
         direct = ordered.moving_averages(bars.tick_bars(source, interval))
@@ -152,10 +152,10 @@ def test_late_tick_corrects_bars_and_following_averages(spark, tmp_path):
     store = TickStore(spark, str(tmp_path))
     early = [("A", float(i), 1.0, i * 5.0, i) for i in range(100)]
     store.append_ticks(flat(spark, early))
-    refresh.refresh_since(store, at(0), at(500))
+    refresh.refresh_since(store, at(0))
     late = [("A", 1000.0, 1.0, 302.5, 1000)]
     store.append_ticks(flat(spark, late))
-    refresh.refresh_since(store, at(302.5), at(500))
+    refresh.refresh_since(store, at(302.5))
     direct = ordered.moving_averages(bars.tick_bars(ticks(spark, early + late), "5 seconds"))
     assert rows(store.scan_bars("5 seconds"), "Symbol", "time") == rows(direct, "Symbol", "time")
 
@@ -163,9 +163,9 @@ def test_late_tick_corrects_bars_and_following_averages(spark, tmp_path):
 def test_history_bounds_the_averages(spark, tmp_path):
     store = TickStore(spark, str(tmp_path))
     store.append_ticks(flat(spark, [("A", float(i), 1.0, i * 5.0, i) for i in range(100)]))
-    refresh.refresh_level(store, "5 seconds", at(0), at(495))
+    refresh.refresh_level(store, "5 seconds", at(0))
     kept = rows(store.scan_bars("5 seconds").select("time", "MA_60"), "time")
-    refresh.refresh_level(store, "5 seconds", at(400), at(495), history="50 seconds")
+    refresh.refresh_level(store, "5 seconds", at(400), history="50 seconds")
     assert rows(store.scan_bars("5 seconds").select("time", "MA_60"), "time") == kept
 
 
@@ -174,11 +174,11 @@ def test_averages_reach_back_for_a_thin_symbol(spark, tmp_path):
     thin = [("THIN", float(i), 1.0, i * 40000.0, i) for i in range(8)]
     busy = [("BUSY", float(i), 1.0, 280000.0 + i * 5.0, 100 + i) for i in range(90)]
     store.append_ticks(flat(spark, thin + busy))
-    refresh.refresh_level(store, "5 seconds", at(0), at(280500), windows=(5,))
+    refresh.refresh_level(store, "5 seconds", at(0), windows=(5,))
     direct = rows(ordered.moving_averages(bars.tick_bars(ticks(spark, thin + busy), "5 seconds"), [5]), "Symbol", "time")
     columns = ["Symbol", "time", *BAR_FIELDS, "MA_5"]
     assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == direct
-    refresh.refresh_level(store, "5 seconds", at(280000), at(280500), windows=(5,))
+    refresh.refresh_level(store, "5 seconds", at(280000), windows=(5,))
     assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == direct
 
 

@@ -39,19 +39,21 @@ def _earlier_bars(store: TickStore, interval: str, start: datetime, symbols: Dat
 
     Traded symbols do; the whole table is read only when some symbol has too few.
     """
-    near = _last_bars(store, interval, start, start - REACH * depth * span(interval), depth)
+    near = _last_bars(store, interval, start, start - REACH * depth * span(interval), depth).persist()
     complete = near.groupBy("Symbol").count().filter(F.col("count") >= depth)
     if symbols.join(complete, "Symbol", "left_anti").isEmpty():
         return near
+    near.unpersist()
     return _last_bars(store, interval, start, None, depth)
 
 
-def refresh_level(store: TickStore, interval: str, since: datetime, until: datetime | None = None,
-                  history: str | None = None, windows: Sequence[int] = MA_WINDOWS) -> None:
+def refresh_level(store: TickStore, interval: str, since: datetime, history: str | None = None,
+                  windows: Sequence[int] = MA_WINDOWS, segment: str | None = "30 days") -> None:
     """Recompute one table's bars from the bucket of ``since`` on and merge them in.
 
     Averages at the start of the range also use the stored bars before it: as far back as needed, or
     only those of the last ``history`` (then averages that need more keep their stored value).
+    ``segment`` as in ``moving_averages``; a caller whose range bounds the bars per symbol gives None.
     """
     start = floor_moment(since, interval)
     order = list(BAR_TABLES)
@@ -61,7 +63,7 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
         bars = tick_bars(ticks, interval)
     else:
         bars = rollup_bars(store.scan_bars(order[place - 1], since=start), interval)
-    bars = bars.persist()
+    bars, earlier = bars.persist(), None
     try:
         depth = max(windows) - 1
         if not store.has_bars(interval):
@@ -71,12 +73,14 @@ def refresh_level(store: TickStore, interval: str, since: datetime, until: datet
         else:
             earlier = _earlier_bars(store, interval, start, bars.select("Symbol").distinct(), depth)
         joined = bars.unionByName(earlier, allowMissingColumns=True)
-        averaged = moving_averages(joined, windows)
+        averaged = moving_averages(joined, windows, segment)
         fresh = averaged.filter(F.col("time") >= moment_literal(start))
         columns = ["Symbol", "time", *BAR_FIELDS, *[f"MA_{n}" for n in windows]]
         store.upsert_bars(interval, fresh.select(*columns))
     finally:
         bars.unpersist()
+        if earlier is not None:
+            earlier.unpersist()
 
 
 def refresh_bars(store: TickStore, now: datetime, history: str | None = None) -> None:
@@ -86,13 +90,13 @@ def refresh_bars(store: TickStore, now: datetime, history: str | None = None) ->
     """
     for interval, lookback in LEVELS.values():
         since = lookback_start(now, lookback, align=interval)
-        refresh_level(store, interval, since, until=now, history=history)
+        refresh_level(store, interval, since, history, segment=None)  # the lookback bounds the bars
 
 
-def refresh_since(store: TickStore, since: datetime, until: datetime, history: str | None = None) -> None:
+def refresh_since(store: TickStore, since: datetime, history: str | None = None) -> None:
     """Refresh every level from the bucket of ``since`` on, finest first."""
     for interval, _ in LEVELS.values():
-        refresh_level(store, interval, since, until, history)
+        refresh_level(store, interval, since, history)
 
 
 def whole_range(df: DataFrame, ts: str = "Trade_Time") -> tuple[datetime, datetime] | None:

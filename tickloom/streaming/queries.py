@@ -140,7 +140,7 @@ def start_refresh(store: TickStore, checkpoint: str, trigger: str | None = BAR_T
     def refresh(batch: DataFrame, batch_id: int) -> None:
         times = whole_range(batch)
         if times is not None:
-            refresh_since(store, *times, history)
+            refresh_since(store, times[0], history)
 
     writer = added.select("Trade_Time").writeStream.queryName(name).foreachBatch(refresh)
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
