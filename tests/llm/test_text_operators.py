@@ -290,3 +290,15 @@ def test_alignment_is_increasing_and_equal():
 
 def test_license_odd_rows(odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == 0 and licenses.scan(no_docs).count() == 0
+
+
+# Slices -----------------------------------------------------------------------------------------
+
+def test_slices_cover_all_texts_and_cut_none():
+    import pyarrow as pa
+    rng = random.Random(8)
+    texts = ["x" * rng.choice([0, 1, 9, 40, 500]) for _ in range(200)]
+    parts = [p.to_pylist() for p in text.slices(text.as_strings(pa.array(texts)), 100)]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) == 1 or sum(map(len, p)) <= 100 for p in parts)
+    assert list(text.slices(text.as_strings(pa.array([], pa.string())))) == []

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.text import as_strings, lowered_words, restored, shielded
+from tickloom.llm.text import as_strings, lowered_words, restored, shielded, slices
 from tickloom.session import scratch_path
 
 WORDS = 5
@@ -136,10 +136,11 @@ def bands(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _documents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     """The cells of each text of a batch."""
-    codes, words, starts = lowered_words(as_strings(batch["text"]))
-    hashes = word_hashes(words)[codes]
-    for begin, end in zip(starts[:-1], starts[1:]):
-        yield weighted_cells(shingles(hashes[begin:end]))
+    for texts in slices(as_strings(batch["text"])):
+        codes, words, starts = lowered_words(texts)
+        hashes = word_hashes(words)[codes]
+        for begin, end in zip(starts[:-1], starts[1:]):
+            yield weighted_cells(shingles(hashes[begin:end]))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 #: White space of every contract here: space and U+0009 to U+000D.
 SPACE_CLASS = r"\x20\x09-\x0D"
 WORD_PATTERN = rf"[^{SPACE_CLASS}]+"
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +58,17 @@ def as_strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column, "").cast(pa.large_string())
 
 
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive runs of whole texts of about ``most`` bytes, so that working arrays stay small."""
+    ends = np.asarray(pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())))
+    begin = 0
+    while begin < len(texts):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield texts.slice(begin, end - begin)
+        begin = end
+
+
 def lowered_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Words of lower-cased (A-Z only) texts: code of each word, distinct words, first word of each text.
 
