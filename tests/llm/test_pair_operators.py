@@ -137,6 +137,49 @@ def test_repeated_passages_are_found_and_others_left(spark):
     assert all(any(" ".join(shared) in " ".join(s) for s in spans[i]) for i in range(20))
 
 
+def plain_stretches(same, span):
+    """Positions inside any stretch of ``span`` or more that begins and ends alike and is similar enough."""
+    inside = set()
+    for x in range(len(same)):
+        for y in range(x + span, len(same) + 1):
+            m, n = sum(same[x:y]), y - x
+            if same[x] and same[y - 1] and 10 * m >= 8 * (2 * n - m):
+                inside.update(range(x, y))
+    return inside
+
+
+def test_stretches_equal_brute_force():
+    rng = random.Random(8)
+    for _ in range(150):
+        n, far = rng.randint(0, 70), rng.choice([0.02, 0.1, 0.2])
+        same = [rng.random() > far for _ in range(n)]
+        found = passages.stretches(np.zeros(n), 1 - np.array(same, float), 12)
+        assert {i for x, y in found for i in range(x, y + 1)} == plain_stretches(same, 12)
+    for size in range(50, 91, 10):
+        for edit in range(size):
+            shingles = np.arange(size - 4)
+            other = np.where((shingles > edit - 5) & (shingles <= edit), -1, shingles)
+            inside = plain_stretches((shingles == other).tolist(), 46)
+            found = passages.stretches(shingles, other, 46)
+            assert {i for x, y in found for i in range(x, y + 1)} == inside
+            if 5 <= edit < size - 5:  # the whole passage but for the edges
+                assert found == [(0, size - 5)]
+
+
+def test_short_passages_with_one_edit_are_found(spark):
+    rng = random.Random(33)
+    texts, where = [], []
+    for size in (60, 70, 80, 90):
+        for edit in range(5, size - 5, 5):
+            one = words(rng, size)
+            two = one[:edit] + ["other"] + one[edit + 1:]
+            for copy in (one, two):
+                texts.append(" ".join(words(rng, 30) + copy + words(rng, 30)))
+                where.append((30, 30 + size))
+    found = passages.repeated_passages(documents(spark, texts)).collect()
+    assert {r["doc_id"]: (r["start_word"], r["end_word"]) for r in found} == dict(enumerate(where))
+
+
 def test_passages_of_odd_rows(odd_docs, no_docs):
     assert passages.repeated_passages(odd_docs).count() == 0
     assert passages.repeated_passages(no_docs).count() == 0
