@@ -258,6 +258,29 @@ def test_exact_search_equals_brute_force(spark, monkeypatch):
         assert {v for v, s in own if s > scores[want[-1]] + 1e-9} == {i for i in want if scores[i] > scores[want[-1]] + 1e-9}
 
 
+@pytest.mark.parametrize("relax", [1.0, ann.RELAX])
+def test_of_equal_vectors_the_smallest_ids_stay(spark, relax):
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(3000, 6)).astype(np.float32)
+    same = rng.permutation(3000)[:100]
+    points[same] = np.float32(3.1) * np.ones(6, np.float32)
+    swaps = [i for i in range(3000) if i not in set(same.tolist())][:60]
+    points[swaps] = np.float32(0.0)
+    points[swaps, np.arange(60) % 6] = np.float32(7.0)  # other vectors, same product with those of one value
+    found = collections.defaultdict(list)
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    for r in ann.nearest(vectors(spark, rows), relax=relax).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    near = 0
+    for q, own in found.items():
+        scores = points.astype(np.float64) @ points[q].astype(np.float64)
+        want = [i for i in sorted(range(3000), key=lambda i: (-round(scores[i], 9), i)) if i != q][:20]
+        if relax == 1.0 or set(want) <= set(same.tolist()):
+            assert own == want
+            near += set(want) <= set(same.tolist())
+    assert near >= 3
+
+
 def test_few_and_no_vectors(spark):
     assert ann.nearest(vectors(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [0.0, 0.0])])).count() == 1
     assert ann.nearest(vectors(spark, [(0, None)])).count() == 0

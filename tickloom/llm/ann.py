@@ -5,8 +5,9 @@ sqrt(M*M - x.x) and a query q by 0, so that the squared distance is q.q + M*M -
 to shards of bounded size by the hash of their id. A shard's tree splits at the median distance from a
 vantage point down to leaves; a query, with the k-th best distance found so far as its radius, leaves out
 a side when the triangle inequality puts it farther than ``radius / relax``. ``relax`` 1 is exact search,
-larger values leave out more. Queries meet each shard's tree in blocks; a shard returns its k best, and
-the k best of all shards are kept per query.
+larger values leave out more. Equal vectors are one point of the tree, which stands for all their ids.
+Queries meet each shard's tree in blocks; a shard returns its k best by (score, id), and the k best of all
+shards are kept per query.
 
 Scores are inner products of the original vectors in double precision. Defined cases: vectors that are
 null, zero, or hold null or non-finite components, and those of another length than most (the dimension
@@ -27,6 +28,17 @@ SHARD_ROWS = 16_384
 BLOCK_ROWS = 2_048
 LEAF = 1_024
 RELAX = 4.0
+#: Squared distances are right up to this part of the largest squared length.
+ROUNDING = 1e-12
+#: Inner products worked out at a time.
+PRODUCTS = 65_536
+
+
+def ranks(groups: np.ndarray) -> np.ndarray:
+    """Number of each entry in its run of equal entries."""
+    at = np.arange(len(groups))
+    new = np.concatenate([[True], groups[1:] != groups[:-1]])[:len(groups)]
+    return at - np.maximum.accumulate(np.where(new, at, 0))
 
 
 class VantageTree:
@@ -35,6 +47,7 @@ class VantageTree:
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
         self.points, self.leaf = points, leaf
         self.order = np.arange(len(points))
+        self.scale = float((points ** 2).sum(1).max()) if len(points) else 0.0
         #: (begin, end, vantage row or -1, median distance, inner child, outer child)
         self.nodes: list[tuple[int, int, int, float, int, int]] = []
         if len(points):
@@ -59,40 +72,59 @@ class VantageTree:
         return number
 
     def search(self, queries: np.ndarray, k: int, relax: float, leave_out: np.ndarray):
-        """Rows and squared distances of the ``k`` nearest of each query; -1 and inf where there are fewer.
+        """Rows and inner products of the ``k`` nearest of each query, of equal ones the first rows; -1 and -inf
+        where there are fewer.
 
         ``leave_out``: the row that is the query itself, or -1.
         """
         best = np.full((len(queries), k), np.inf)
         rows = np.full((len(queries), k), -1, np.int64)
+        scores = np.full((len(queries), k), -np.inf)
         if self.nodes:
-            self._visit(0, np.arange(len(queries)), np.zeros(len(queries)), queries, k, relax, leave_out, best, rows)
-        return rows, best
-
-    def _visit(self, number, asked, bound, queries, k, relax, leave_out, best, rows):
+            self._visit(0, np.arange(len(queries)), np.zeros(len(queries)), queries, k, relax, leave_out,
+                        (best, rows, scores))
+        return rows, scores
+
+    def _leaf(self, begin, end, asked, queries, k, leave_out, kept):
+        """Take the rows of a leaf that are among the ``k`` best: squared distances, which rounding can order
+        wrongly, only choose candidates; inner products and then row numbers decide."""
+        best, rows, scores = kept
+        mine = self.order[begin:end]
+        points = self.points[mine]
+        sizes = (points ** 2).sum(1)
+        lengths = (queries[asked] ** 2).sum(1)
+        squares = lengths[:, None] + sizes[None, :] - 2 * queries[asked] @ points.T
+        squares = np.maximum(squares, 0)
+        squares[mine[None, :] == leave_out[asked][:, None]] = np.inf
+        joined = np.concatenate([best[asked], squares], 1)
+        limit = np.partition(joined, k - 1, 1)[:, k - 1] + ROUNDING * (lengths + sizes.max())
+        who, place = np.nonzero((joined <= limit[:, None]) & np.isfinite(joined))
+        old = place < k
+        name = np.where(old, rows[asked[who], np.minimum(place, k - 1)], mine[np.maximum(place - k, 0)])
+        score = np.where(old, scores[asked[who], np.minimum(place, k - 1)], 0.0)
+        new = np.flatnonzero(~old)
+        for at in range(0, len(new), PRODUCTS):
+            own = new[at:at + PRODUCTS]
+            score[own] = np.einsum("ij,ij->i", queries[asked[who[own]]], self.points[name[own]])
+        order = np.lexsort((name, -score, who))
+        who, place, name, score = who[order], place[order], name[order], score[order]
+        rank = ranks(who)
+        stay = rank < k
+        who, place, name, score, rank = who[stay], place[stay], name[stay], score[stay], rank[stay]
+        best[asked], rows[asked], scores[asked] = np.inf, -1, -np.inf
+        best[asked[who], rank] = joined[who, place]
+        rows[asked[who], rank] = name
+        scores[asked[who], rank] = score
+
+    def _visit(self, number, asked, bound, queries, k, relax, leave_out, kept):
         """Look at a node for the queries ``asked`` whose distance to it is ``bound`` at least."""
-        radius = np.sqrt(best[asked, -1])
-        go = bound <= radius / relax
+        go = (bound * relax) ** 2 <= kept[0][asked].max(1) + ROUNDING * self.scale
         asked, bound = asked[go], bound[go]
         if not len(asked):
             return
         begin, end, vantage, median, inner, outer = self.nodes[number]
         if vantage < 0:
-            mine = self.order[begin:end]
-            points = self.points[mine]
-            squares = ((queries[asked] ** 2).sum(1)[:, None] + (points ** 2).sum(1)[None, :]
-                       - 2 * queries[asked] @ points.T)
-            squares = np.maximum(squares, 0)
-            squares[mine[None, :] == leave_out[asked][:, None]] = np.inf
-            joined = np.concatenate([best[asked], squares], 1)
-            names = np.concatenate([rows[asked], np.broadcast_to(mine, squares.shape)], 1)
-            names[np.isinf(joined)] = -1
-            top = np.argsort(joined, 1, kind="stable")[:, :k] if k * 4 > joined.shape[1] else \
-                np.argpartition(joined, k - 1, 1)[:, :k]
-            joined, names = np.take_along_axis(joined, top, 1), np.take_along_axis(names, top, 1)
-            order = np.argsort(joined, 1, kind="stable")
-            best[asked] = np.take_along_axis(joined, order, 1)
-            rows[asked] = np.take_along_axis(names, order, 1)
+            self._leaf(begin, end, asked, queries, k, leave_out, kept)
             return
         apart = np.sqrt(np.maximum(((queries[asked] - self.points[vantage]) ** 2).sum(1), 0))
         near_inner = apart < median
@@ -102,8 +134,8 @@ class VantageTree:
                 (near_inner, inner, outer, inner_bound, outer_bound),
                 (~near_inner, outer, inner, outer_bound, inner_bound)):
             if side.any():
-                self._visit(first, asked[side], first_bound[side], queries, k, relax, leave_out, best, rows)
-                self._visit(second, asked[side], second_bound[side], queries, k, relax, leave_out, best, rows)
+                self._visit(first, asked[side], first_bound[side], queries, k, relax, leave_out, kept)
+                self._visit(second, asked[side], second_bound[side], queries, k, relax, leave_out, kept)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -111,6 +143,16 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row of each distinct vector in the order of rows, and each row's number among them."""
+    whole = np.ascontiguousarray(vectors + 0.0)  # -0.0 and 0.0 are one value
+    whole = whole.view(np.dtype((np.void, whole.itemsize * whole.shape[1]))).ravel()
+    _, first, group = np.unique(whole, return_index=True, return_inverse=True)
+    number = np.empty(len(first), np.int64)
+    number[np.argsort(first)] = np.arange(len(first))
+    return np.sort(first), number[group.ravel()]
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows whose vector takes part, as ``vec_id`` and ``embedding`` (doubles) with its squared ``norm``."""
     doubles = F.col("embedding").cast("array<double>")
@@ -131,17 +173,30 @@ def _search(k: int, relax: float, longest: float):
         rows = rows.sort_by("vec_id")
         ids = np.asarray(rows["vec_id"])
         vectors = _matrix(rows["embedding"])
+        # the tree holds each vector once, numbered by its smallest id; its copies' ids come back at the end
+        firsts, group = distinct(vectors)
+        sizes = np.bincount(group)
+        begins, by_group = np.cumsum(sizes) - sizes, np.argsort(group, kind="stable")
+        vectors = vectors[firsts]
         extra = np.sqrt(np.maximum(longest - (vectors ** 2).sum(1), 0))
         tree = VantageTree(np.column_stack([vectors, extra]))
         asking, asked = np.asarray(queries["vec_id"]), _matrix(queries["embedding"])
         at = np.minimum(np.searchsorted(ids, asking), len(ids) - 1)
-        own = np.where(ids[at] == asking, at, -1)
+        own = np.where((ids[at] == asking) & (sizes[group[at]] == 1), group[at], -1)
         # a query is only compared within its direction: a common length keeps the order of the products
-        found, _ = tree.search(np.column_stack([asked, np.zeros(len(asked))]), min(k, len(ids)), relax, own)
+        # one more than k, as copies of a query's own row may take a place
+        found, scores = tree.search(np.column_stack([asked, np.zeros(len(asked))]), min(k + 1, len(firsts)), relax, own)
         who, which = np.nonzero(found >= 0)
-        hit = found[who, which]
-        score = np.einsum("ij,ij->i", asked[who], vectors[hit])
-        return pa.table({"query_id": asking[who], "vec_id": ids[hit], "score": score})
+        hit, score = found[who, which], scores[who, which]
+        many = np.minimum(sizes[hit], k + 1)
+        who, score, begin = np.repeat(who, many), np.repeat(score, many), np.repeat(begins[hit], many)
+        member = by_group[begin + ranks(np.repeat(np.arange(len(many)), many))]
+        other = ids[member] != asking[who]
+        who, score, vec = who[other], score[other], ids[member][other]
+        order = np.lexsort((vec, -score, who))
+        who, score, vec = who[order], score[order], vec[order]
+        stay = ranks(who) < k
+        return pa.table({"query_id": asking[who[stay]], "vec_id": vec[stay], "score": score[stay]})
     return run
 
 
