@@ -278,6 +278,39 @@ def test_license_passages(spark):
     assert found[0]["end_word"] == 50 + len(torn)
 
 
+def test_other_licenses_get_no_wrong_name(spark):
+    gpl = licenses.TEMPLATES["GPL-3.0-notice"]
+    work = "This work is licensed under the GNU"
+    lines = {
+        "Released under the BSD License": "BSD", "Released under the Zlib License": None,
+        "Licensed under CC BY-ND 4.0": "CC-BY-ND-4.0", "Licensed under CC BY 3.0": None,
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0",
+        f"{work} General Public License, version 2": "GPL-2.0", f"{work} General Public License, version 1": None,
+        f"{work} General Public License, version 3": "GPL-3.0",
+        f"{work} Lesser General Public License, version 3": "LGPL-3.0",
+        f"{work} Affero General Public License, version 3": "AGPL-3.0",
+        f"{work} Library General Public License, version 3": None,
+        f"{work} Free Documentation License, version 3": None,
+        "Licensed under the Apache License, Version 1.1": "Apache-1.1",
+        "Licensed under the Apache License, Version 1.0": None,
+        "Licensed under Apache License, Version 2.0": "Apache-2.0",
+        "Released under an MIT License": "MIT", "Released under the not quite MIT License": None,
+        "Released Released under the MIT License": "MIT", "the license is Released under the MIT License x": "MIT",
+        gpl: "GPL-3.0-notice", gpl.replace("version 3", "version 2"): "GPL-2.0-notice",
+        gpl.replace("version 3", "version 9"): None, gpl.replace("General", "Lesser General"): "LGPL-3.0-notice",
+        gpl.replace("General", "Affero General"): "AGPL-3.0-notice",
+    }
+    found = licenses.scan(documents(spark, [f"{a} {line}{b}" for line in lines for a, b in (("", ""), ("x y", ". z w"))]))
+    names = {i: [] for i in range(2 * len(lines))}
+    for r in found.collect():
+        names[r["doc_id"]].append((r["license"], r["coverage"] == 1.0))
+    want = list(lines.values())
+    loose = ("Licensed under Apache License", "Released under an MIT")
+    for i, got in names.items():
+        line = list(lines)[i // 2]
+        assert got == ([(want[i // 2], not line.startswith(loose))] if want[i // 2] else []), line
+
+
 def test_alignment_is_increasing_and_equal():
     rng = random.Random(4)
     for _ in range(200):

@@ -5,8 +5,10 @@ window of ``STRETCH`` times its length holds enough of its words, which no passa
 template can miss. Inside the window both word lists are aligned: words unique to both are anchors, the
 longest increasing run of anchors stays, and the gaps between them are aligned in the same way; a gap
 without anchors matches equal words at its two ends. Coverage is the share of the template's words that
-are aligned; from ``COVERAGE`` on the passage is reported. Where passages of several templates overlap, the
-one with most aligned words stays (then the one with most coverage, then the first name).
+are aligned; from ``COVERAGE`` on the passage is reported if the words that set the template apart (its name
+and version) are aligned too. In templates of up to ``SHORT`` words those are all but the ``FRAME``, and words
+may be replaced or missing but none inserted. Where passages of several templates overlap, the one with most
+aligned words stays (then the one with most coverage, then the first name).
 
 Defined cases: null and empty texts have no passage; each passage of a text is reported; repeated rows
 are reported each; other columns are not used.
@@ -14,6 +16,7 @@ are reported each; other columns are not used.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -26,8 +29,21 @@ from tickloom.llm.text import as_strings, lowered_words
 
 COVERAGE = 0.8
 STRETCH = 1.5
+SHORT = 20
+#: Words of short templates that do not tell one license from another.
+FRAME = frozenset("a an the this work is licensed released under license version".split())
+#: Words of notices that do, beside version numbers.
+TELLING = frozenset(["lesser", "affero"])
+VERSION = re.compile(r"\d+(\.\d+)*")
 MARKS = ".,;:!?()[]{}<>\"'*#/-"
 
+_GPL_NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+    "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
+    "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+    "PURPOSE. See the GNU General Public License for more details.")
+
 # Public license notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -56,18 +72,29 @@ TEMPLATES = {
         "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution."),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
-        "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
-        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
-        "PURPOSE. See the GNU General Public License for more details."),
     "MPL-2.0-notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1",
+    "BSD": "Released under the BSD License",
+    "ISC": "Released under the ISC License",
+    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0",
+    "GPL-3.0-notice": _GPL_NOTICE,
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "GPL-2.0-notice": _GPL_NOTICE.replace("version 3", "version 2"),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-3.0-notice": _GPL_NOTICE.replace("GNU General", "GNU Lesser General"),
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-2.1-notice": (_GPL_NOTICE.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")
+                        .replace("This program", "This library")),
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "AGPL-3.0-notice": _GPL_NOTICE.replace("GNU General", "GNU Affero General"),
 }
 
 
@@ -125,18 +152,41 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(aligned)
 
 
+def telling(template: list[str]) -> set[int]:
+    """Positions of the words that set a template apart: without them a passage is not its license."""
+    if len(template) <= SHORT:
+        return {j for j, w in enumerate(template) if w not in FRAME}
+    return {j for j, w in enumerate(template) if w in TELLING or VERSION.fullmatch(w)}
+
+
+def unbroken(aligned: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """The longest runs of ``aligned`` inside which the text has no more words than the template."""
+    begin = 0
+    for at in range(1, len(aligned) + 1):
+        if at == len(aligned) or aligned[at][0] - aligned[at - 1][0] > aligned[at][1] - aligned[at - 1][1]:
+            if begin < at:
+                yield aligned[begin:at]
+            begin = at
+
+
 def passages(text: list[str], template: list[str], starts: np.ndarray, coverage: float = COVERAGE):
-    """(first word, one past the last, coverage) of each passage; ``starts``: windows worth looking at."""
+    """(first word, one past the last, coverage) of each passage; ``starts``: windows worth looking at.
+
+    Those of a short template can overlap.
+    """
     width = int(np.ceil(len(template) * STRETCH))
+    short, needed = len(template) <= SHORT, telling(template)
     after = 0
     for start in starts.tolist():
         if start < after:
             continue
         aligned = align(text[start:start + width], template)
-        share = len(aligned) / len(template)
-        if share >= coverage:
-            after = start + aligned[-1][0] + 1
-            yield start + aligned[0][0], after, share
+        for run in unbroken(aligned) if short else [aligned]:
+            share = len(run) / len(template)
+            if share >= coverage and needed <= {j for _, j in run}:
+                past = start + run[-1][0] + 1
+                after = after if short else past
+                yield start + run[0][0], past, share
 
 
 def best_of(found: list[tuple]) -> list[tuple]:
