@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import documents, words
 from tickloom.llm import fingerprint, licenses, linededup, lmscore, mixing, packing, text
+from tickloom.llm.catalog import QUERIES
 from pyspark.sql import functions as F
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,6 +63,16 @@ def test_scores_equal_plain_model(spark, order):
     assert np.allclose([r[4:] for r in mine], [r[4:] for r in want], rtol=1e-10)
 
 
+def test_the_query_scores_with_trigrams(spark, tmp_path):
+    rng = random.Random(6)
+    vocabulary = words(rng, 12)
+    rows = [(i, " ".join(rng.choices(vocabulary, k=200))) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    mine = sorted(tuple(r)[1:] for r in QUERIES["op1_lm_score"](spark, str(tmp_path)).collect())
+    want = sorted(plain_scores(rows, 3, lmscore.MU))
+    assert np.allclose([r[4:] for r in mine], [r[4:] for r in want], rtol=1e-10)
+
+
 def test_scores_of_odd_rows(odd_docs, no_docs):
     assert lmscore.score(odd_docs).count() == odd_docs.count()
     assert lmscore.score(no_docs).count() == 0

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.neardup import mixed
 from tickloom.llm.text import as_strings, lowered_words, parts_for, text_bytes
 
-ORDER = 2
+ORDER = 3
 MU = 1_000.0
 FOLDS, HELD_OUT = 5, 1
 BLOCK_BYTES = 12 << 20
