@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, passages, toxicity
+from tickloom.llm import (ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, passages, runs,
+                          toxicity)
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -121,3 +122,18 @@ def op9_vantage_point_ann(spark, sf_dir):
 @query("op10_license_scan")
 def op10_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    found = runs.periodic_runs(runs.with_loops(table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.shorter")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.shorter") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
