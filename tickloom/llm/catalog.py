@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, passages, runs,
-                          toxicity)
+                          sharding, toxicity)
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -137,3 +137,44 @@ def op11_periodic_runs(spark, sf_dir):
         F.floor(-1000 * F.col("best.shorter") / F.col("best.period")).cast("long").alias("exponent_milli"),
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+#: CRC-32 of UTF-8 bytes byte by byte, with the table made from the reversed polynomial.
+CRC32_SQL = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS crc_of FROM (
+    SELECT i, list_reduce([i::UBIGINT] || range(8)::UBIGINT[], lambda a, b:
+             CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS v
+    FROM range(256) AS bytes(i))),
+hashed AS (
+  SELECT documents.*, xor(list_reduce(
+           [4294967295::UBIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                                   lambda x: ('0x' || x)::UBIGINT),
+           lambda a, b: xor(a >> 8, crc_of[(xor(a, b) & 255)::INT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM documents, crc_table)"""
+
+
+@query("op12_sharding", f"""
+WITH {CRC32_SQL},
+keyed AS (
+  SELECT doc_id, source, text_crc32, coalesce(strlen(text), 0)::BIGINT + 16 AS size, text IS NULL AS no_text,
+         md5('shard-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key
+  FROM hashed),
+ranked AS (
+  SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY key, no_text) - 1)::DOUBLE
+              / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS share
+  FROM keyed),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY share, source NULLS LAST, key, no_text) - 1 AS place, count(*) OVER () AS total
+  FROM ranked),
+cut AS (SELECT *, place * 40 // total AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard,
+       (place - (shard * total + 39) // 40)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM cut""")
+def op12_sharding(spark, sf_dir):
+    placed = sharding.interleave(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return placed.select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
