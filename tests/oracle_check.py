@@ -30,7 +30,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
     names = sorted(frame.columns)
 
     def text(value) -> str:
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "\0"
         if isinstance(value, float):
             return repr(round(value, 4) + 0.0)
