@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import (ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing, passages, runs,
-                          sharding, toxicity)
+from tickloom.llm import (alignment, ann, fingerprint, licenses, linededup, lmscore, mixing, neardup, packing,
+                          passages, runs, sharding, toxicity)
 from tickloom.llm.text import table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -178,3 +179,11 @@ def op12_sharding(spark, sf_dir):
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.lit("rows").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark, sf_dir):
+    aligned = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECE_MODEL), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
