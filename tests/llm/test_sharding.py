@@ -40,9 +40,10 @@ def some_rows(rng, n):
     return [(i, rng.choice(["copy", f"text {i}", ""]), rng.choice(sources)) for i in range(n)]
 
 
-@pytest.mark.parametrize("bucket_rows", [7, 200_000])
+@pytest.mark.parametrize("bucket_rows, span", [(7, 3), (7, 4096), (4000, 4096)])
 @pytest.mark.parametrize("size, shards", [(1, 4), (5, 40), (400, 7)])
-def test_places_equal_definition(spark, monkeypatch, size, shards, bucket_rows):
+def test_places_equal_definition(spark, monkeypatch, size, shards, bucket_rows, span):
+    monkeypatch.setattr(sharding, "SPAN_BUCKETS", span)
     monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
     rows = some_rows(random.Random(size), size)
     found = sharding.interleave(spark.createDataFrame(rows, ROWS), shards).select(
@@ -64,8 +65,7 @@ def test_repeated_rows_share_no_place(spark, monkeypatch):
     monkeypatch.setattr(sharding, "RUN_COPIES", 16)
     rows = [(1, "same", "hot")] * 500 + [(1, "same", "b")] * 40 + [(None, None, None)] * 30 + some_rows(random.Random(1), 430)
     found = sharding.interleave(spark.createDataFrame(rows, ROWS), 10).collect()
-    assert collections.Counter(tuple(r)[:0] + (r["doc_id"], r["text"], r["source"]) for r in found) == collections.Counter(
-        (i, t, s) for i, t, s in rows)
+    assert collections.Counter((r["doc_id"], r["text"], r["source"]) for r in found) == collections.Counter(rows)
     assert sorted((r["_shard"], r["_slot"]) for r in found) == [(s, i) for s in range(10) for i in range(100)]
     hot = collections.Counter(r["_shard"] for r in found if r["source"] == "hot")
     assert max(hot.values()) - min(hot.values()) <= 4
