@@ -1,13 +1,16 @@
-from datetime import date
+from datetime import date, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR, at, rows, ticks
 from tickloom.operators import bars, filters, ordered
 from tickloom.plans import refresh, views
-from tickloom.schema import BAR_FIELDS, FLAT_TICK, RAW_TICK
+from tickloom.schema import BAR_FIELDS, FLAT_TICK
 from tickloom.sources import lines
+from tickloom.sources import store as store_module
+from tickloom.sources.live import Entry, LiveFolders, bounds, joinable
 from tickloom.sources.store import TickStore, merge_bars
 
 
@@ -69,8 +72,7 @@ def test_compaction_keeps_the_newest_values(spark, tmp_path):
             ticks(spark, [("A", price, 1.0, 0.0, 1), ("B", price, 1.0, 5.0 * price, 1), ("A", price, 1.0, day, 2)]), "5 seconds"))
     before = rows(store.scan_bars("5 seconds"), "Symbol", "time")
     assert store.compact("5sec-monitor", date(2024, 3, 5)) == ["date=2024-03-04"]
-    assert len(list((tmp_path / "5sec-monitor" / "date=2024-03-04").iterdir())) == 1
-    assert len(list((tmp_path / "5sec-monitor" / "date=2024-03-05").iterdir())) == 3
+    assert {p: len(es) for p, es in store.live("5sec-monitor").items()} == {"date=2024-03-04": 1, "date=2024-03-05": 3}
     assert rows(store.scan_bars("5 seconds"), "Symbol", "time") == before
     assert store.compact("5sec-monitor", date(2024, 3, 5)) == []
 
@@ -84,12 +86,10 @@ def test_tick_batches_add_up_replace_themselves_and_join(spark, tmp_path):
     seqs = list(range(40))
     assert [r.Seq for r in store.scan_ticks().orderBy("Seq").collect()] == seqs
     assert store.scan_raw().filter("Spark_Time < '2024-06-01'").count() == 20
-    raw = tmp_path / "raw"
-    assert store.compact_ticks(date(2024, 3, 6)) and len(list((raw / "date=2024-03-05").iterdir())) == 1
+    assert store.compact_ticks(date(2024, 3, 6)) == ["date=2024-03-05"]
+    assert {len(entries) for p, entries in store.live("raw").items() if p < "date=2024-03-06"} == {1}
     assert [r.Seq for r in store.scan_ticks().orderBy("Seq").collect()] == seqs
-    (raw / "_joined").mkdir(exist_ok=True)
-    (raw / "date=2024-03-05").rename(raw / "_joined" / "date=2024-03-05")  # stopped between the two moves
-    store.recover_ticks()
+    store.append_ticks(part(0), "one")  # a retry after its days were joined
     assert [r.Seq for r in store.scan_ticks().orderBy("Seq").collect()] == seqs
 
 
@@ -112,9 +112,9 @@ def test_scans_list_only_the_folders_in_range(spark, tmp_path):
     assert kept.count() == 7
     assert all("date=2024-03-06" in f for f in kept.inputFiles())
     assert "GreaterThanOrEqual(time" in kept._jdf.queryExecution().executedPlan().toString()
-    plain = [d.name for d in (tmp_path / "raw").iterdir() if d.name.startswith("date=")]
-    listed = store._read("raw", RAW_TICK.fields, at(50 * 3600))
-    assert len(plain) == 3 and len({f.split("date=")[1][:10] for f in listed.inputFiles()}) == 1
+    assert len(store.live("raw")) == 3 and list(store.live("raw", since=at(50 * 3600))) == ["date=2024-03-06"]
+    store.append_ticks(flat(spark, [("B", 1.0, 1.0, 59 * 3600.0 + i, i) for i in range(3)]))
+    assert [len(es) for es in store.live("raw", since=at(59 * 3600 + 1)).values()] == [1]
 
 
 def test_raw_points_have_times_of_their_own(spark):
@@ -160,26 +160,169 @@ def test_late_tick_corrects_bars_and_following_averages(spark, tmp_path):
     assert rows(store.scan_bars("5 seconds"), "Symbol", "time") == rows(direct, "Symbol", "time")
 
 
-def test_history_bounds_the_averages(spark, tmp_path):
+def averaged(source, interval):
+    return rows(ordered.moving_averages(bars.tick_bars(source, interval)), "Symbol", "time")
+
+
+def test_joining_versions_keeps_an_open_day_small():
+    """2,000 writes of a day, joined as the store joins them."""
+    live, written = [], 0
+    for number in range(1, 2001):
+        live.append(Entry(f"version={number}-x", 0, number, number))
+        while chosen := joinable(live):
+            written += len(chosen) ** (chosen[0].tier + 1)
+            low, high = bounds(chosen)
+            live = live[:-len(chosen)] + [Entry(f"version={chosen[-1].number}-y", chosen[0].tier + 1, low, high)]
+        assert len(live) <= 7 * 4
+        assert [e.number for e in live] == sorted(e.number for e in live)
+    assert written <= 4 * 2000 and live[0].low == 1 and live[-1].high == 2000
+
+
+def test_versions_are_joined_while_they_are_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "FAN", 3)
+    monkeypatch.setattr(store_module, "joinable", lambda live, fan: joinable(live, 3))
+    store = TickStore(spark, str(tmp_path))
+    for step in range(10):
+        store.write_bars("5 seconds", bars.tick_bars(
+            ticks(spark, [("A", float(step), 1.0, 0.0, 1), ("B", 1.0, 1.0, 5.0 * step, 1)]), "5 seconds"))
+        assert len(store.live("5sec-monitor")["date=2024-03-04"]) <= 4
+    found = {(r.Symbol, r.time): r.Close for r in store.scan_bars("5 seconds").collect()}
+    assert len(found) == 11 and found["A", at(0).replace(tzinfo=None)] == 9.0
+
+
+def test_a_join_loses_no_update(spark, tmp_path, monkeypatch):
+    """A version that is written before a join and committed after it is newer than the joined one."""
+    store = TickStore(spark, str(tmp_path))
+    bar = lambda price: bars.tick_bars(ticks(spark, [("A", price, 1.0, 0.0, 1)]), "5 seconds")
+    store.write_bars("5 seconds", bar(1.0))
+    store.write_bars("5 seconds", bar(2.0))
+    plain = TickStore._stage
+
+    def staged_then_joined(self, *given):
+        done = plain(self, *given)
+        TickStore(spark, str(tmp_path)).compact("5sec-monitor", date(2024, 3, 5))
+        return done
+
+    monkeypatch.setattr(TickStore, "_stage", staged_then_joined)
+    store.write_bars("5 seconds", bar(9.0))
+    monkeypatch.undo()
+    assert [r.Close for r in store.scan_bars("5 seconds").collect()] == [9.0]
+    assert len(store.live("5sec-monitor")["date=2024-03-04"]) == 2
+    store.compact("5sec-monitor", date(2024, 3, 5))
+    assert [r.Close for r in store.scan_bars("5 seconds").collect()] == [9.0]
+
+
+def test_two_writers_at_a_time_both_count(spark, tmp_path, monkeypatch):
+    """The list that loses the race for a number is made again on top of the other."""
+    store = TickStore(spark, str(tmp_path))
+    plain, other = LiveFolders._create, []
+
+    def after_another(self, part, number, text):
+        if not other:
+            other.append(number)
+            store.write_bars("5 seconds", bars.tick_bars(ticks(spark, [("B", 1.0, 1.0, 0.0, 1)]), "5 seconds"))
+        return plain(self, part, number, text)
+
+    monkeypatch.setattr(LiveFolders, "_create", after_another)
+    store.write_bars("5 seconds", bars.tick_bars(ticks(spark, [("A", 1.0, 1.0, 0.0, 1)]), "5 seconds"))
+    assert {r.Symbol for r in store.scan_bars("5 seconds").collect()} == {"A", "B"}
+
+
+def test_readers_that_began_before_a_join_finish(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    for n in (0, 20):
+        store.append_ticks(flat(spark, [("A", float(i), 1.0, float(i), i) for i in range(n, n + 20)]))
+        store.write_bars("5 seconds", bars.tick_bars(ticks(spark, [("A", 1.0, 1.0, float(n), 1)]), "5 seconds"))
+    early = store.scan_ticks(), store.scan_bars("5 seconds")
+    store.compact_ticks(date(2024, 3, 5)), store.compact("5sec-monitor", date(2024, 3, 5))
+    assert [df.count() for df in early] == [40, 2]
+    assert [store.scan_ticks().count(), store.scan_bars("5 seconds").count()] == [40, 2]
+    soon = TickStore(spark, str(tmp_path), retain=timedelta(0))
+    soon.append_ticks(flat(spark, [("A", 1.0, 1.0, 1.0, 99)]))
+    soon.append_ticks(flat(spark, [("A", 1.0, 1.0, 1.0, 99)]))
+    assert soon.scan_ticks().count() == 42  # the replaced folders are gone, their rows are not
+
+
+def test_a_list_that_was_not_written_to_its_end_does_not_count(spark, tmp_path):
     store = TickStore(spark, str(tmp_path))
-    store.append_ticks(flat(spark, [("A", float(i), 1.0, i * 5.0, i) for i in range(100)]))
-    refresh.refresh_level(store, "5 seconds", at(0))
-    kept = rows(store.scan_bars("5 seconds").select("time", "MA_60"), "time")
-    refresh.refresh_level(store, "5 seconds", at(400), history="50 seconds")
-    assert rows(store.scan_bars("5 seconds").select("time", "MA_60"), "time") == kept
+    store.append_ticks(flat(spark, [("A", 1.0, 1.0, 1.0, 1)]))
+    (tmp_path / "raw" / "date=2024-03-04" / "_live" / "2").write_text('{"live": [')
+    assert store.scan_ticks().count() == 1
+    store.append_ticks(flat(spark, [("A", 1.0, 1.0, 1.0, 2)]))
+    assert store.scan_ticks().count() == 2
 
 
-def test_averages_reach_back_for_a_thin_symbol(spark, tmp_path):
+def test_symbols_are_found_in_few_row_groups(spark, tmp_path):
+    store = TickStore(spark, str(tmp_path))
+    for n in range(2):
+        store.append_ticks(flat(spark, [(f"S{i % 50}", 1.0, 1.0, float(i), i) for i in range(n, 20_000, 2)]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files for so few rows
+    store.compact_ticks(date(2024, 3, 5))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [p for p in (tmp_path / "raw" / "date=2024-03-04").rglob("*.parquet") if "joined" in str(p)]
+    ranges = [pq.ParquetFile(f).metadata.row_group(g).column(2).statistics for f in files
+              for g in range(pq.ParquetFile(f).num_row_groups)]
+    holding = [r for r in ranges if r.min <= "S17" <= r.max]
+    assert len(ranges) >= 4 and len(holding) <= 2
+    assert store.scan_ticks(symbols=["S17"]).count() == 400
+    assert "In(Symbol" in (plan := store.scan_ticks(symbols=["S17", "S3"])._jdf.queryExecution().toString()) or "IN (S17" in plan
+
+
+def test_averages_come_from_the_tail_for_a_thin_symbol(spark, tmp_path):
     store = TickStore(spark, str(tmp_path))
     thin = [("THIN", float(i), 1.0, i * 40000.0, i) for i in range(8)]
     busy = [("BUSY", float(i), 1.0, 280000.0 + i * 5.0, 100 + i) for i in range(90)]
     store.append_ticks(flat(spark, thin + busy))
-    refresh.refresh_level(store, "5 seconds", at(0), windows=(5,))
-    direct = rows(ordered.moving_averages(bars.tick_bars(ticks(spark, thin + busy), "5 seconds"), [5]), "Symbol", "time")
     columns = ["Symbol", "time", *BAR_FIELDS, "MA_5"]
-    assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == direct
-    refresh.refresh_level(store, "5 seconds", at(280000), windows=(5,))
-    assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == direct
+    for since in (0, 280000, 100000):
+        refresh.refresh_since(store, at(since), windows=(5,))
+        direct = ordered.moving_averages(bars.tick_bars(ticks(spark, thin + busy), "5 seconds"), [5])
+        assert rows(store.scan_bars("5 seconds").select(columns), "Symbol", "time") == rows(direct, "Symbol", "time")
+
+
+def follow(spark, store, batches):
+    """Append each batch and refresh what it touches; all ticks so far after each."""
+    seen = []
+    for batch in batches:
+        seen += batch
+        moments = [r[3] for r in batch]
+        store.append_ticks(flat(spark, batch))
+        refresh.refresh_touched(store, flat(spark, batch), at(min(moments)), at(max(moments)))
+        yield seen
+
+
+def test_touched_keys_keep_all_levels_right(spark, tmp_path):
+    """Live batches, a late tick inside the lookback, one before all tails, a new and a silent symbol."""
+    store = TickStore(spark, str(tmp_path))
+    live = lambda a, b, s="A": [(s, float(i % 17), 1.0, i * 5.0 + 1, i) for i in range(a, b)]
+    batches = [live(0, 200) + live(0, 3, "SILENT"), live(200, 210), live(210, 900) + live(250, 260, "NEW"),
+               [("A", 99.0, 2.0, 880 * 5.0 + 2, 5000)], [("A", 77.0, 2.0, 52.5, 5001), ("SILENT", 7.0, 1.0, 4499.0, 5002)],
+               live(900, 905)]
+    for seen in follow(spark, store, batches):
+        for interval in bars.CASCADE:
+            stored = rows(store.scan_bars(interval), "Symbol", "time")
+            assert stored == averaged(ticks(spark, seen), interval), interval
+
+
+def test_a_new_symbol_widens_no_scan_and_others_are_not_rewritten(spark, tmp_path, monkeypatch):
+    store = TickStore(spark, str(tmp_path))
+    history = [("A", float(i), 1.0, i * 3600.0 * 8, i) for i in range(30)]
+    now = 29 * 3600.0 * 8
+    list(follow(spark, store, [history, [("A", 5.0, 1.0, now + 5, 50)]]))
+    opened = []
+    plain = TickStore._open
+    monkeypatch.setattr(TickStore, "_open", lambda self, table, shape, paths: (
+        opened.extend((table, p.split("/")[0]) for p in paths), plain(self, table, shape, paths))[1])
+    list(follow(spark, store, [[("FRESH", 1.0, 1.0, now + 11, 51)]]))
+    today = {"date=2024-03-13", "date=2024-03-14"}
+    assert {p for t, p in opened if t in ("raw", "5sec-monitor", "1m-monitor", "5m-monitor")} <= today
+    monkeypatch.undo()
+    newest = [max(es, key=lambda e: e.number) for t in ("5sec-monitor", "1h-monitor") for es in [
+        store.live(t)[max(store.live(t))]]]
+    for table, entry in zip(("5sec-monitor", "1h-monitor"), newest):
+        part = max(store.live(table))
+        written = spark.read.parquet(f"{store.path(table)}/{part}/{entry.name}")
+        assert {r.Symbol for r in written.collect()} == {"FRESH"}
 
 
 def test_line_protocol_escapes_and_leaves_out_missing_fields(spark):

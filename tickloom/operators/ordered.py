@@ -60,8 +60,8 @@ def _with_sums(bars: DataFrame, window: WindowSpec, windows: Sequence[int]) -> D
     return bars
 
 
-def moving_averages(bars: DataFrame, windows: Sequence[int] = MA_WINDOWS,
-                    segment: str | None = "30 days") -> DataFrame:
+def moving_averages(bars: DataFrame, windows: Sequence[int] = MA_WINDOWS, segment: str | None = "30 days",
+                    keys: Sequence[str] = ("Symbol",)) -> DataFrame:
     """``MA_n``: mean Close of the last n observed bars of a symbol, null before there are n.
 
     A null Close anywhere in the frame gives null. A segment holds at most
@@ -75,8 +75,8 @@ def moving_averages(bars: DataFrame, windows: Sequence[int] = MA_WINDOWS,
         return summed.withColumns({f"MA_{n}": F.col(f"_sum_{n}") / n for n in windows})
 
     if segment is None:
-        return averaged(bars, Window.partitionBy("Symbol").orderBy("time")).select(*bars.columns, *names)
-    return over_segments(bars, ["Symbol"], ["time"], bucket_micros("time", segment),
+        return averaged(bars, Window.partitionBy(*keys).orderBy("time")).select(*bars.columns, *names)
+    return over_segments(bars, keys, ["time"], bucket_micros("time", segment),
                          max(windows) - 1, names, averaged)
 
 

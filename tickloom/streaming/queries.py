@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.operators.bars import CASCADE, microbatch_bars, next_level, tick_bars
-from tickloom.plans.refresh import refresh_since, whole_range
-from tickloom.schema import FLAT_TICK, RAW_TICK
-from tickloom.sources.store import BAR_TABLES, MICROBATCH, RAW, TickStore
+from tickloom.plans.refresh import refresh_touched
+from tickloom.schema import FLAT_TICK
+from tickloom.sources.store import BAR_TABLES, BATCH_LOG, LOG_DDL, MICROBATCH, TickStore, moment_of
 
 BAR_TRIGGER = "5 seconds"
 LATE_BY = "10 minutes"
@@ -59,13 +60,8 @@ def start_bars_batch(ticks: DataFrame, store: TickStore, checkpoint: str,
     stamped = ticks.withColumn("_now", clock if clock is not None else F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        bars = microbatch_bars(batch, F.col("_now")).persist()
-        try:
-            if not bars.isEmpty():
-                for table in tables:
-                    store.upsert(table, bars)
-        finally:
-            bars.unpersist()
+        bars = microbatch_bars(batch, F.col("_now"))
+        store.upsert_all({table: bars for table in tables})
 
     writer = stamped.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, trigger).start()
@@ -86,12 +82,7 @@ def start_stream_bars(ticks: DataFrame, store: TickStore, interval: str, checkpo
     """Keep the table of ``interval`` current: changed bars are added as a new version."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.persist()  # else the state is worked on twice
-        try:
-            if not changed.isEmpty():
-                store.upsert(BAR_TABLES[interval], changed)
-        finally:
-            changed.unpersist()
+        store.upsert(BAR_TABLES[interval], batch)
 
     bars = stream_bars(ticks, interval, delay)
     writer = bars.writeStream.queryName(name).outputMode("update").foreachBatch(write)
@@ -130,19 +121,29 @@ def read_level(spark: SparkSession, root: str, interval: str, stream: bool = Fal
     return reader.schema(LEVEL_DDL).parquet(f"{root.rstrip('/')}/{interval.replace(' ', '_')}")
 
 
-def start_refresh(store: TickStore, checkpoint: str, trigger: str | None = BAR_TRIGGER,
-                  history: str | None = None, name: str = "refresh",
+def start_refresh(store: TickStore, checkpoint: str, trigger: str | None = BAR_TRIGGER, name: str = "refresh",
                   options: dict[str, str] | None = None) -> StreamingQuery:
-    """Follow the raw table; after each batch of new files refresh all levels from the oldest new tick."""
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW_TICK) + ", date date, batch string"
-    added = store.spark.readStream.schema(shape).options(**(options or {})).parquet(store.path(RAW))
+    """Follow the log of tick batches; after each trigger refresh the bars that the new batches touch.
 
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        times = whole_range(batch)
-        if times is not None:
-            refresh_since(store, times[0], history)
+    The log has one line per batch, at most ``maxFilesPerTrigger`` (500) at a time, and names the batch's
+    folders; joining days does not add to it. The ticks of a batch that was joined before its turn are all
+    those of its time range.
+    """
+    folder = store.folders(BATCH_LOG)
+    folder.fs.mkdirs(folder.at())
+    reader = store.spark.readStream.schema(LOG_DDL).options(**{"maxFilesPerTrigger": "500", **(options or {})})
 
-    writer = added.select("Trade_Time").writeStream.queryName(name).foreachBatch(refresh)
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.filter("low IS NOT NULL").collect()
+        if not lines:
+            return
+        low, high = moment_of(min(r.low for r in lines)), moment_of(max(r.high for r in lines))
+        ticks = store.batch_ticks([f for r in lines for f in r.folders])
+        if ticks is None:
+            ticks = store.scan_ticks(since=low, until=high + timedelta(microseconds=1))
+        refresh_touched(store, ticks, low, high)
+
+    writer = reader.json(store.path(BATCH_LOG)).writeStream.queryName(name).foreachBatch(refresh)
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
