@@ -258,7 +258,7 @@ def test_exact_search_equals_brute_force(spark, monkeypatch):
         assert {v for v, s in own if s > scores[want[-1]] + 1e-9} == {i for i in want if scores[i] > scores[want[-1]] + 1e-9}
 
 
-@pytest.mark.parametrize("relax", [1.0, ann.RELAX])
+@pytest.mark.parametrize("relax", [1.0, 4.0])
 def test_of_equal_vectors_the_smallest_ids_stay(spark, relax):
     rng = np.random.default_rng(9)
     points = rng.normal(size=(3000, 6)).astype(np.float32)
@@ -286,11 +286,32 @@ def test_few_and_no_vectors(spark):
     assert ann.nearest(vectors(spark, [(0, None)])).count() == 0
 
 
-def test_recall_on_the_given_vectors(spark):
-    given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    exact = {tuple(r) for r in ann.nearest(given, relax=1.0).select("query_id", "vec_id").collect()}
-    relaxed = {tuple(r) for r in ann.nearest(given).select("query_id", "vec_id").collect()}
-    assert len(exact & relaxed) >= 0.9 * len(exact)
+def kinds_of_vectors():
+    rng = np.random.default_rng(11)
+    yield "gaussian", rng.normal(size=(6000, 16))
+    yield "clustered", rng.normal(size=(40, 8))[rng.integers(0, 40, 6000)] + 0.05 * rng.normal(size=(6000, 8))
+    yield "uneven lengths", rng.normal(size=(6000, 12)) * rng.lognormal(0, 1, (6000, 1))
+
+
+def test_the_default_finds_all_neighbours_of_three_kinds_of_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 2500)
+    for name, points in kinds_of_vectors():
+        points = points.astype(np.float32)
+        wide = points.astype(np.float64)
+        found = collections.defaultdict(set)
+        for r in ann.nearest(vectors(spark, list(enumerate(points.tolist()))), every=200).collect():
+            found[r["query_id"]].add(r["vec_id"])
+        for q in range(0, 6000, 200):
+            scores = wide @ wide[q]
+            scores[q] = -np.inf
+            assert found[q] == set(np.argsort(-scores)[:20].tolist()), name
+
+
+def test_odd_lengths_and_repeated_ids(spark):
+    rows = [(0, [9.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, 0.0])]
+    found = sorted(tuple(r) for r in ann.nearest(vectors(spark, rows)).collect())
+    assert found == sorted([(20, 1, 1, 1.0), (20, 2, 2, 0.0), (20, 3, 20, 0.0),  # of [0, 1]
+                            (20, 1, 2, 2.0), (20, 2, 1, 1.0), (20, 3, 20, 0.0)])  # of [1, 0]
 
 
 # Queries and pipeline ---------------------------------------------------------------------------

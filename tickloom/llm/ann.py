@@ -4,19 +4,23 @@ The largest inner product becomes a smallest distance: with M the largest norm,
 sqrt(M*M - x.x) and a query q by 0, so that the squared distance is q.q + M*M - 2 q.x. Vectors are dealt
 to shards of bounded size by the hash of their id. A shard's tree splits at the median distance from a
 vantage point down to leaves; a query, with the k-th best distance found so far as its radius, leaves out
-a side when the triangle inequality puts it farther than ``radius / relax``. ``relax`` 1 is exact search,
-larger values leave out more. Equal vectors are one point of the tree, which stands for all their ids.
-Queries meet each shard's tree in blocks; a shard returns its k best by (score, id), and the k best of all
-shards are kept per query.
-
-Scores are inner products of the original vectors in double precision. Defined cases: vectors that are
-null, zero, or hold null or non-finite components, and those of another length than most (the dimension
-of the vector with the smallest id), take no part; repeated vectors are all candidates; equal scores are
-ordered by id; a query never finds its own row; fewer candidates than k give fewer rows.
+a side when the triangle inequality puts it farther than ``radius / relax``. ``relax`` 1, the default, is exact
+search; larger values leave out more and lose neighbours. Equal vectors are one point of the tree, which
+stands for all their ids. A shard's tree is built once: its rows come first in its partition, then the
+queries stream past it. A shard returns a query's k best by (score, id), and the k best of all shards are kept.
+
+Scores are inner products of the original vectors in double precision, added from the first component to the
+last. Defined cases: vectors that are null, zero, or hold null or non-finite components, and those of another
+length than most (of equally frequent lengths the smaller one counts), take no part; equal vectors under
+different ids are all candidates; rows equal in id and vector are one row; an id with several vectors has a row
+and, as a query, a result for each; equal scores are ordered by id; a query never finds its own row; fewer
+candidates than k give fewer rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,10 +28,10 @@ from pyspark.sql import functions as F
 
 NEIGHBOURS = 20
 QUERY_EVERY = 20
-SHARD_ROWS = 16_384
+SHARD_ROWS = 32_768
 BLOCK_ROWS = 2_048
 LEAF = 1_024
-RELAX = 4.0
+RELAX = 1.0
 #: Squared distances are right up to this part of the largest squared length.
 ROUNDING = 1e-12
 #: Inner products worked out at a time.
@@ -41,6 +45,11 @@ def ranks(groups: np.ndarray) -> np.ndarray:
     return at - np.maximum.accumulate(np.where(new, at, 0))
 
 
+def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner product of each pair of rows, added up in order."""
+    return np.cumsum(left * right, axis=1)[:, -1]
+
+
 class VantageTree:
     """Rows of ``points`` ordered so that every node of the tree is a contiguous range."""
 
@@ -105,7 +114,7 @@ class VantageTree:
         new = np.flatnonzero(~old)
         for at in range(0, len(new), PRODUCTS):
             own = new[at:at + PRODUCTS]
-            score[own] = np.einsum("ij,ij->i", queries[asked[who[own]]], self.points[name[own]])
+            score[own] = products(queries[asked[who[own]]], self.points[name[own]])
         order = np.lexsort((name, -score, who))
         who, place, name, score = who[order], place[order], name[order], score[order]
         rank = ranks(who)
@@ -164,62 +173,120 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows
 
 
-def _search(k: int, relax: float, longest: float):
-    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                 "score": pa.array([], pa.float64())}
-        if not queries.num_rows or not rows.num_rows:
-            return pa.table(empty)
-        rows = rows.sort_by("vec_id")
-        ids = np.asarray(rows["vec_id"])
-        vectors = _matrix(rows["embedding"])
+class Shard:
+    """The tree over a shard's rows and their ids."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], vectors[order]
         # the tree holds each vector once, numbered by its smallest id; its copies' ids come back at the end
         firsts, group = distinct(vectors)
-        sizes = np.bincount(group)
-        begins, by_group = np.cumsum(sizes) - sizes, np.argsort(group, kind="stable")
-        vectors = vectors[firsts]
-        extra = np.sqrt(np.maximum(longest - (vectors ** 2).sum(1), 0))
-        tree = VantageTree(np.column_stack([vectors, extra]))
-        asking, asked = np.asarray(queries["vec_id"]), _matrix(queries["embedding"])
-        at = np.minimum(np.searchsorted(ids, asking), len(ids) - 1)
-        own = np.where((ids[at] == asking) & (sizes[group[at]] == 1), group[at], -1)
+        kept = np.unique(np.stack([ids, group], 1), axis=0, return_index=True)[1]  # equal rows are one
+        self.ids, self.group = ids[kept], group[kept]
+        self.sizes = np.bincount(self.group, minlength=len(firsts))
+        self.begins, self.by_group = np.cumsum(self.sizes) - self.sizes, np.argsort(self.group, kind="stable")
+        self.vectors = vectors[firsts]
+        extra = np.sqrt(np.maximum(longest - (self.vectors ** 2).sum(1), 0))
+        self.tree = VantageTree(np.column_stack([self.vectors, extra]))
+
+    def own_group(self, asking: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """The group of each query's own row, or -1 for one of another shard."""
+        own = np.full(len(asking), -1)
+        at = np.searchsorted(self.ids, asking)
+        open_ = np.flatnonzero(at < len(self.ids))
+        while len(open_):
+            open_ = open_[self.ids[at[open_]] == asking[open_]]
+            same = (self.vectors[self.group[at[open_]]] == asked[open_]).all(1)
+            own[open_[same]] = self.group[at[open_[same]]]
+            at[open_] += 1
+            open_ = open_[~same]
+            open_ = open_[at[open_] < len(self.ids)]
+        return own
+
+    def search(self, asking: np.ndarray, asked: np.ndarray, k: int, relax: float):
+        """Place of the query, vec_id and score of the ``k`` best of each."""
+        own = self.own_group(asking, asked)
+        alone = np.where((own >= 0) & (self.sizes[own] == 1), own, -1)
         # a query is only compared within its direction: a common length keeps the order of the products
         # one more than k, as copies of a query's own row may take a place
-        found, scores = tree.search(np.column_stack([asked, np.zeros(len(asked))]), min(k + 1, len(firsts)), relax, own)
+        found, scores = self.tree.search(np.column_stack([asked, np.zeros(len(asked))]),
+                                         min(k + 1, len(self.vectors)), relax, alone)
         who, which = np.nonzero(found >= 0)
         hit, score = found[who, which], scores[who, which]
-        many = np.minimum(sizes[hit], k + 1)
-        who, score, begin = np.repeat(who, many), np.repeat(score, many), np.repeat(begins[hit], many)
-        member = by_group[begin + ranks(np.repeat(np.arange(len(many)), many))]
-        other = ids[member] != asking[who]
-        who, score, vec = who[other], score[other], ids[member][other]
+        many = np.minimum(self.sizes[hit], k + 1)
+        who, score, hit, begin = (np.repeat(x, many) for x in (who, score, hit, self.begins[hit]))
+        vec = self.ids[self.by_group[begin + ranks(np.repeat(np.arange(len(many)), many))]]
+        other = (vec != asking[who]) | (hit != own[who])
+        who, score, vec = who[other], score[other], vec[other]
         order = np.lexsort((vec, -score, who))
         who, score, vec = who[order], score[order], vec[order]
         stay = ranks(who) < k
-        return pa.table({"query_id": asking[who[stay]], "vec_id": vec[stay], "score": score[stay]})
+        return who[stay], vec[stay], score[stay]
+
+
+def _search(k: int, relax: float, longest: float):
+    """Rows of a shard and then its queries, shard by shard; the queries are answered some at a time."""
+    def answers(shard: Shard, waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        asked = pa.Table.from_batches(waiting)
+        who, vec, score = shard.search(np.asarray(asked["vec_id"]), _matrix(asked["embedding"]), k, relax)
+        return pa.RecordBatch.from_arrays(
+            [asked["vec_id"].combine_chunks().take(pa.array(who)), asked["variant"].combine_chunks().take(pa.array(who)),
+             pa.array(vec, pa.int64()), pa.array(score, pa.float64())], names=["query_id", "variant", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, shard, rows, waiting = None, None, [], []
+        for batch in batches:
+            kinds = np.asarray(batch["shard"]) * 2 + np.asarray(batch["asks"])
+            cuts = [0, *(np.flatnonzero(np.diff(kinds)) + 1).tolist(), len(kinds)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                piece, (own, asks) = batch.slice(begin, end - begin), divmod(int(kinds[begin]), 2)
+                if own != number:
+                    if waiting:
+                        yield answers(shard, waiting)
+                    number, shard, rows, waiting = own, None, [], []
+                if not asks:
+                    rows.append(piece)
+                    continue
+                if shard is None:
+                    if not rows:  # no row was dealt to this shard
+                        continue
+                    table = pa.Table.from_batches(rows)
+                    shard, rows = Shard(np.asarray(table["vec_id"]), _matrix(table["embedding"]), longest), []
+                waiting.append(piece)
+                if sum(w.num_rows for w in waiting) >= BLOCK_ROWS:
+                    yield answers(shard, waiting)
+                    waiting = []
+        if waiting:
+            yield answers(shard, waiting)
     return run
 
 
 def nearest(vectors: DataFrame, k: int = NEIGHBOURS, every: int = QUERY_EVERY, relax: float = RELAX) -> DataFrame:
     """The ``k`` nearest rows of each query (``vec_id`` divisible by ``every``): query_id, rank, vec_id, score.
 
-    Blocks of queries are dealt to every shard: a stated query set against all rows, where a task holds one
-    shard and one block.
+    Every query is sent to every shard: a stated query set against all rows. A task holds one shard's tree
+    and ``BLOCK_ROWS`` queries.
     """
     rows = usable(vectors)
-    facts = rows.agg(F.count("*").alias("n"), F.max("norm").alias("most"),
-                     F.min(F.struct("vec_id", F.size("embedding").alias("d")))["d"].alias("d"),
-                     F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("asked")).first()
-    shards, blocks = max(1, -(-facts["n"] // SHARD_ROWS)), max(1, -(-facts["asked"] // BLOCK_ROWS))
-    rows = rows.where(F.size("embedding") == F.lit(facts["d"] or 0)).select("vec_id", "embedding")
-    spread = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-    data = (rows.withColumn("shard", spread(shards))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    asked = (rows.where(F.col("vec_id") % every == 0)
-             .withColumn("block", F.pmod(F.hash("vec_id"), F.lit(blocks)).cast("int"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    found = asked.groupBy("shard", "block").cogroup(data.groupBy("shard", "block")).applyInArrow(
-        _search(k, relax, float(facts["most"] or 0.0)), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    facts = (rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"), F.max("norm").alias("most"))
+             .orderBy(F.desc("n"), "d").first())
+    if facts is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    shards = max(1, -(-facts["n"] // SHARD_ROWS))
+    rows = rows.where(F.size("embedding") == facts["d"]).select(F.col("vec_id").cast("long"), "embedding")
+    none = F.lit(0).cast("long")
+    data = rows.select("vec_id", "embedding", none.alias("variant"), F.lit(0).alias("asks"),
+                       F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"))
+    # an id with several vectors asks once for each
+    asked = (rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.collect_set("embedding").alias("own"))
+             .select("vec_id", F.posexplode(F.array_sort("own")).alias("variant", "embedding"))
+             .select("vec_id", "embedding", F.col("variant").cast("long"), F.lit(1).alias("asks"),
+                     F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")))
+    found = (data.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+             .mapInArrow(_search(k, relax, float(facts["most"])),
+                         "query_id long, variant long, vec_id long, score double"))
+    best = Window.partitionBy("query_id", "variant").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -115,7 +115,23 @@ def op8_fingerprint(spark, sf_dir):
     return fingerprint.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
-@query("op9_vantage_point_ann")
+@query("op9_vantage_point_ann", """
+WITH doubles AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+usable AS (
+  SELECT vec_id, v, len(v) AS d FROM doubles
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+common AS (SELECT d FROM usable GROUP BY d ORDER BY count(*) DESC, d LIMIT 1),
+rows_ AS (SELECT DISTINCT vec_id, v FROM usable WHERE d = (SELECT d FROM common)),
+scored AS (
+  SELECT q.vec_id AS query_id, q.v AS qv, r.vec_id,
+         list_reduce(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2]), lambda s, x: s + x) AS score
+  FROM rows_ q JOIN rows_ r ON q.vec_id % 20 = 0 AND (q.vec_id <> r.vec_id OR q.v <> r.v)),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id) AS place, vec_id, score
+  FROM scored)
+SELECT query_id, place::INT AS rank, vec_id, score FROM ranked WHERE place <= 20""")
 def op9_vantage_point_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
