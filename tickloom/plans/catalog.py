@@ -12,14 +12,15 @@ from pyspark.sql import types as T
 from tickloom.functions import times
 from tickloom.operators import bars, filters, messages, ordered, quality, universe
 from tickloom.plans import refresh, views
-from tickloom.schema import BAR_FIELDS
+from tickloom.schema import BAR_FIELDS, MA_WINDOWS
 from tickloom.session import scratch_path
 from tickloom.sources import codec, lines
 from tickloom.sources.store import LEVELS, MICROBATCH, RAW, TickStore, merge_bars
+from tickloom.streaming import health
 from tickloom.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-MA_NAMES = ["MA_5", "MA_10", "MA_20", "MA_60"]
+MA_NAMES = [f"MA_{n}" for n in MA_WINDOWS]
 QUERIES: dict[str, Query] = {}
 
 
@@ -447,3 +448,72 @@ def stream_cascade(spark, sf_dir):
     for level in levels[1:]:
         combined = combined.unionByName(level)
     return combined
+
+
+def _heartbeat(spark: SparkSession, path: str) -> None:
+    """Add a micro-batch to a replay: one event without a price, a day after all others, so that sessions close."""
+    events = spark.read.schema(views.EVENTS).parquet(path)
+    told = {"event_id": F.lit(-1).cast("bigint"), "ts": F.col("ts") + F.expr("interval 1 day")}
+    last = events.agg(F.max("ts").alias("ts"))
+    last.select(*[told.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in events.schema]).write.mode(
+        "append").parquet(path)
+
+
+@query("stream_stale")
+def stream_stale(spark, sf_dir):
+    """Four micro-batches in the order of time, a restart after two, and a heartbeat at the end."""
+    store, checkpoints = _available(spark, "stream_stale")
+    feed = views.replay(spark, sf_dir, store.path("feed"), parts=4)
+    for step in (1, 3):
+        ticks = views.plain_ticks(feed(step))
+        if step == 3:
+            _heartbeat(spark, store.path("feed"))
+        health.start_stale(ticks, store.path("stale"), checkpoints, trigger="available now").awaitTermination()
+    return health.Carried(spark, store.path("stale")).out(health.stale_shape(ticks, ()))
+
+
+def _by_arrival(spark: SparkSession, sf_dir: str):
+    """Steps of a replay that follow the ingest time: a step is never older than the one before."""
+    ingest = F.unix_millis(views.ingest_time())
+    low, high = views.read_events(spark, sf_dir).agg(F.min(ingest), F.max(ingest)).first()
+    return F.floor((ingest - F.lit(low or 0)) / F.lit(((high or 0) - (low or 0)) // 4 + 1))
+
+
+@query("stream_seq_gaps")
+def stream_seq_gaps(spark, sf_dir):
+    """Four micro-batches in the order of arrival, with a restart after two."""
+    store, checkpoints = _available(spark, "stream_seq_gaps")
+    feed = views.replay(spark, sf_dir, store.path("feed"), 4, _by_arrival(spark, sf_dir))
+    for step in (1, 3):
+        ticks = views.flat_ticks(feed(step))
+        health.start_seq_gaps(ticks, store.path("gaps"), checkpoints, ["Partition"],
+                              trigger="available now").awaitTermination()
+    return health.Carried(spark, store.path("gaps")).out(health.gap_shape(ticks, ["Partition"]))
+
+
+@query("stream_assign_seq")
+def stream_assign_seq(spark, sf_dir):
+    """Four micro-batches in the order of time, with a restart after two."""
+    store, checkpoints = _available(spark, "stream_assign_seq")
+    feed = views.replay(spark, sf_dir, store.path("feed"), 4)
+    for step in (1, 3):
+        ticks = views.flat_ticks(feed(step)).select(
+            "Partition", "Symbol", "Trade_Time", F.col("Seq").alias("event_id"))
+        health.start_running_numbers(ticks, store.path("numbers"), checkpoints, ["Partition"],
+                                     ["Trade_Time", "event_id"], trigger="available now").awaitTermination()
+    shape = T.StructType([*ticks.schema.fields, T.StructField("Seq", T.LongType())])
+    return health.Carried(spark, store.path("numbers")).out(shape)
+
+
+@query("stream_late_bars")
+def stream_late_bars(spark, sf_dir):
+    """A shuffled replay with the default delay: bars, the late ticks put aside, and the repair of their bars."""
+    store, checkpoints = _available(spark, "stream_late_bars")
+    feed = views.replay(spark, sf_dir, store.path("feed"), 4, F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    ticks = views.flat_ticks(feed(3))
+    now = "available now"
+    streams.start_raw(ticks, store, f"{checkpoints}/raw", now).awaitTermination()
+    streams.start_stream_bars(ticks, store, "1 hour", f"{checkpoints}/bars", trigger=now).awaitTermination()
+    health.start_late_ticks(ticks, store.path("late"), f"{checkpoints}/late", "1 hour", trigger=now).awaitTermination()
+    health.repair_late(store, "1 hour", health.Carried(spark, store.path("late")).out(ticks.schema))
+    return store.scan_bars("1 hour").drop(*MA_NAMES)

@@ -314,3 +314,9 @@ FROM bars, (VALUES ('5sec'), ('5sec-monitor')) AS tables(table_name)""",
     "stream_refresh_ma": all_averaged(),
     "stream_cascade": closed_levels("10 days"),
 }
+ORACLES |= {
+    "stream_stale": ORACLES["stale_intervals"],
+    "stream_seq_gaps": ORACLES["seq_gaps"],
+    "stream_assign_seq": ORACLES["assign_seq"],
+    "stream_late_bars": ORACLES["stream_bars"],
+}

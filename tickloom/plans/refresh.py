@@ -204,6 +204,11 @@ def refresh_touched(store: TickStore, ticks: DataFrame, low: datetime, high: dat
     _refresh(store, _ranges(low, high), newest, ticks, windows)
 
 
+def rebuild_touched(store: TickStore, interval: str, ticks: DataFrame, low: datetime, high: datetime) -> None:
+    """Build the bars of one level that ``ticks``, all within [low, high], touch, straight from the raw table."""
+    store.upsert_bars(interval, _changed_bars(store, interval, _ranges(low, high)[interval], None, ticks))
+
+
 def _newest(store: TickStore) -> datetime | None:
     """The newest stored tick, from the lists of the last dates alone."""
     folders = store.folders(RAW)

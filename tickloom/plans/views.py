@@ -41,6 +41,11 @@ def plain_ticks(events: DataFrame) -> DataFrame:
     )
 
 
+def ingest_time() -> Column:
+    """When an event was taken in: ``k`` milliseconds after it."""
+    return F.timestamp_micros(F.unix_micros("ts") + _volume().cast("bigint") * 1000)
+
+
 def flat_ticks(events: DataFrame) -> DataFrame:
     """Events in the full flat-tick shape.
 
@@ -50,7 +55,6 @@ def flat_ticks(events: DataFrame) -> DataFrame:
     volume = _volume()
     conditions = F.array("event_type")
     fingerprint = tick_hash(F.col("event_type"), F.unix_millis("ts"), F.col("value"), volume, conditions)
-    ingest = F.timestamp_micros(F.unix_micros("ts") + volume.cast("bigint") * 1000)
     fields = {
         "Trade_type": conditions,
         "Price": F.col("value"),
@@ -59,7 +63,7 @@ def flat_ticks(events: DataFrame) -> DataFrame:
         "Trade_Time": F.col("ts"),
         "Hash_Web": F.when(F.col("event_id") % 97 == 0, F.lit("0")).otherwise(F.col("fingerprint")),
         "Seq": F.col("event_id"),
-        "Timestamp_Web": iso_millis(ingest),
+        "Timestamp_Web": iso_millis(ingest_time()),
         "Offset": F.floor(F.col("event_id") / TICKS_PER_MESSAGE),
         "Partition": _feed(),
         "Hash_Spark": F.col("fingerprint"),
