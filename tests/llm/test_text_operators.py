@@ -63,6 +63,30 @@ def test_scores_equal_plain_model(spark, order):
     assert np.allclose([r[4:] for r in mine], [r[4:] for r in want], rtol=1e-10)
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_over_many_blocks(spark, monkeypatch, order):
+    """N-grams that only one block holds are never asked for; their counts are the block's own."""
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(lmscore, "BUCKET_BYTES", 1000)
+    rng = random.Random(order + 50)
+    vocabulary = words(rng, 30)
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 20, 300])))) for i in range(60)]
+    found = lmscore.score(spark.createDataFrame(rows, "doc_id long, text string"), order, 7.0).collect()
+    mine, want = sorted(tuple(r)[1:] for r in found), sorted(plain_scores(rows, order, 7.0))
+    assert [r[:4] for r in mine] == [r[:4] for r in want]
+    assert np.allclose([r[4:] for r in mine], [r[4:] for r in want], rtol=1e-10)
+
+
+@pytest.mark.parametrize("size", [1, 2, 300])
+def test_packed_keys_and_counts(size):
+    rng = np.random.default_rng(size)
+    for top in (300, 2 ** 40, 2 ** 64 - 1):
+        keys = np.unique(rng.integers(0, top, size, np.uint64, endpoint=True))
+        assert (lmscore.unpack_keys(lmscore.pack_keys(keys)) == keys).all()
+    counts = rng.integers(0, 600, size)
+    assert (lmscore.unpack_counts(lmscore.pack_counts(counts), size) == counts).all()
+
+
 def test_the_query_scores_with_trigrams(spark, tmp_path):
     rng = random.Random(6)
     vocabulary = words(rng, 12)

@@ -8,9 +8,12 @@ from h to h' weighs log10 MU / (c(h) + MU). A text is read once from left to rig
 and the weights of arcs and failure arcs add up.
 
 The automaton of a large corpus fits no machine, so each block of documents gets the part that its own
-texts can reach: a block sends its distinct n-gram hashes, packed and sorted, to buckets by hash; a bucket
-adds up the training counts and answers each block in the order of its question; the block builds its
-states and arcs from the answers and reads its texts. Words and n-grams are known by 64-bit hashes.
+texts can reach: a block sends its distinct n-gram hashes, sorted and as differences, to buckets by hash; a
+bucket adds up the training counts and answers each block in the order of its question; the block builds its
+states and arcs from the answers and reads its texts. Words and pairs are asked first, and the answer also says
+whether another block holds the n-gram. A longer n-gram is in another block only if both n-grams one shorter
+inside it are, so only those are asked for; the count of any other is the block's own. Words and n-grams are
+known by 64-bit hashes.
 
 Defined cases: a null or empty text is its end alone; a null ``doc_id`` counts as the empty id; repeated
 rows are documents each; without training documents every token has the probability of an unknown one.
@@ -30,7 +33,7 @@ from tickloom.llm.text import as_strings, lowered_words, parts_for, text_bytes
 ORDER = 3
 MU = 1_000.0
 FOLDS, HELD_OUT = 5, 1
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 10 << 20
 BUCKET_BYTES = 4 << 20
 LANE = 512
 
@@ -39,11 +42,50 @@ END_HASH = np.uint64(xxhash.xxh3_64_intdigest(b""))
 BEGIN_HASH = np.uint64(xxhash.xxh3_64_intdigest(b" "))  # no word holds a space
 
 GRAMS_DDL = "bucket int, level int, block int, keys binary, counts binary"
-ANSWERS_DDL = "block int, level int, bucket int, counts binary"
+ANSWERS_DDL = "block int, level int, bucket int, n int, counts binary, shared binary"
 GRAMS_SCHEMA = pa.schema([("bucket", pa.int32()), ("level", pa.int32()), ("block", pa.int32()),
                           ("keys", pa.binary()), ("counts", pa.binary())])
 ANSWERS_SCHEMA = pa.schema([("block", pa.int32()), ("level", pa.int32()), ("bucket", pa.int32()),
-                            ("counts", pa.binary())])
+                            ("n", pa.int32()), ("counts", pa.binary()), ("shared", pa.binary())])
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """The first of rising keys, then differences of as many bytes as the largest needs; the first byte tells how many."""
+    steps = np.diff(keys)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    short = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + short.tobytes()
+
+
+def unpack_keys(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    short = np.frombuffer(packed, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(short) + 1, 8), np.uint8)
+    steps[0] = np.frombuffer(packed, np.uint8, 8, 1)
+    steps[1:, :width] = short
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and the number of every key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    return ordered[fresh], order[fresh].astype(np.int32), number
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte per count; those from 255 on follow as four bytes each."""
+    return (np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u4").tobytes())
+
+
+def unpack_counts(packed: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(packed, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(packed, "<u4", offset=n)
+    return counts
 
 
 class Tokens:
@@ -80,51 +122,109 @@ class Tokens:
 BEGIN_KEY = mixed(np.array([BEGIN_HASH]))[0]
 
 
+class Level:
+    """The distinct n-grams of one length in a block: sorted keys, where each is, its count in the block."""
+
+    def __init__(self, tokens: Tokens, level: int, taught: np.ndarray, begins: int):
+        self.level = level
+        self.there = np.flatnonzero(tokens.place >= level - 2).astype(np.int32)
+        keys, weights = tokens.keys(level)[self.there], taught[self.there]
+        if level == 1:  # the begin mark is a context as often as documents teach
+            keys, weights = np.append(keys, BEGIN_KEY), np.append(weights, begins)
+        self.keys, self.some, self.at = distinct_keys(keys)
+        self.counts = np.bincount(self.at, weights=weights, minlength=len(self.keys)).astype(np.int64)
+        self.asked = np.ones(len(self.keys), bool)
+        self.shared = np.zeros(len(self.keys), bool)
+
+    def spread(self, tokens: Tokens) -> np.ndarray:
+        """Place in ``keys`` of the n-gram that ends at each token; -1 where there is none."""
+        whole = np.full(len(tokens.hashes), -1, np.int32)
+        whole[self.there] = self.at[:len(self.there)]
+        return whole
+
+    def ask_if_shared(self, tokens: Tokens, shorter: Level) -> None:
+        """Ask only for n-grams whose both shorter ones are in another block."""
+        spot, at = self.there[self.some], shorter.spread(tokens)
+        self.asked = shorter.shared[at[spot]] & shorter.shared[at[spot - 1]]
+
+    def take(self, rows: list[dict]) -> None:
+        """Put the answers in, which come in the order of the keys."""
+        rows = sorted(rows, key=lambda r: r["bucket"])
+        if rows and rows[0]["counts"] is not None:
+            self.counts[self.asked] = np.concatenate([unpack_counts(r["counts"], r["n"]) for r in rows])
+        if rows:
+            self.shared[self.asked] = np.concatenate(
+                [np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in rows]).astype(bool)
+
+
+def _levels(block: pa.Table, order: int, answers: list[dict]) -> tuple[Tokens, list[Level]]:
+    """A block's n-grams up to ``order``, with the answers that are there; the last level may still be open."""
+    tokens = Tokens(as_strings(block["text"]), order)
+    learns = ~np.asarray(block["held_out"].to_pylist(), bool)
+    taught = np.repeat(learns, np.diff(tokens.starts))
+    levels = []
+    for number in range(1, order + 1):
+        level = Level(tokens, number, taught, int(learns.sum()))
+        if number > 2:
+            level.ask_if_shared(tokens, levels[-1])
+        level.take([r for r in answers if r["level"] == number])
+        levels.append(level)
+    return tokens, levels
+
+
+def _asking(levels: list[Level], block: int, bits: int) -> pa.Table:
+    """Rows that ask for the open n-grams, cut by bucket."""
+    rows = []
+    for level in levels:
+        keys, counts = level.keys[level.asked], level.counts[level.asked]
+        bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
+        for begin, end in zip(cuts[:-1], cuts[1:]):
+            if end > begin:
+                rows.append({"bucket": int(bucket[begin]), "level": level.level, "block": block,
+                             "keys": pack_keys(keys[begin:end]), "counts": pack_counts(counts[begin:end])})
+    return pa.Table.from_pylist(rows, schema=GRAMS_SCHEMA)
+
+
 def _grams(order: int, bits: int):
     def run(block: pa.Table) -> pa.Table:
-        """The distinct n-grams of a block with their training counts, cut by bucket."""
-        tokens = Tokens(as_strings(block["text"]), order)
-        learns = ~np.asarray(block["held_out"].to_pylist(), bool)
-        taught = np.repeat(learns, np.diff(tokens.starts))
-        number, rows = block["block"][0].as_py(), []
-        for level in range(1, order + 1):
-            there = tokens.place >= level - 2
-            keys, weights = tokens.keys(level)[there], taught[there]
-            if level == 1:  # the begin mark is a context as often as documents teach
-                keys, weights = np.append(keys, BEGIN_KEY), np.append(weights, learns.sum())
-            keys, inverse = np.unique(keys, return_inverse=True)
-            counts = np.bincount(inverse, weights=weights, minlength=len(keys)).astype("<u4")
-            bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)]
-            for begin, end in zip(cuts[:-1], cuts[1:]):
-                if end > begin:
-                    rows.append({"bucket": int(bucket[begin]), "level": level, "block": number,
-                                 "keys": keys[begin:end].tobytes(), "counts": counts[begin:end].tobytes()})
-        return pa.Table.from_pylist(rows, schema=GRAMS_SCHEMA)
+        """The distinct words and pairs of a block with their training counts."""
+        return _asking(_levels(block, min(order, 2), [])[1], block["block"][0].as_py(), bits)
+    return run
+
+
+def _longer(level: int, bits: int):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        """The distinct n-grams of ``level`` tokens that may be in another block."""
+        if not block.num_rows:
+            return GRAMS_SCHEMA.empty_table()
+        return _asking(_levels(block, level, answers.to_pylist())[1][-1:], block["block"][0].as_py(), bits)
     return run
 
 
-def _sums(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of packed rows, their summed counts, and the place of every packed key in them."""
-    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows])
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(inverse, weights=counts, minlength=len(distinct)), inverse
+def _sums(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Distinct keys of packed rows, their summed counts, the place of every packed key in them, keys a row."""
+    unpacked = [unpack_keys(r["keys"]) for r in rows]
+    sizes = [len(k) for k in unpacked]
+    counts = np.concatenate([unpack_counts(r["counts"], n) for r, n in zip(rows, sizes)])
+    distinct, _, inverse = distinct_keys(np.concatenate(unpacked))
+    return distinct, np.bincount(inverse, weights=counts, minlength=len(distinct)), inverse, sizes
 
 
 def _answer(bucket: pa.Table) -> pa.Table:
-    """For each block, the training counts of the n-grams it asked for, in its order."""
+    """For each block, the training counts of the n-grams it asked for, in its order, and which others hold too."""
     found, rows = [], bucket.to_pylist()
     for level in sorted({r["level"] for r in rows}):
         asked = [r for r in rows if r["level"] == level]
-        _, totals, inverse = _sums(asked)
-        answers = totals[inverse].astype("<u4")
+        _, totals, inverse, sizes = _sums(asked)
+        shared = (np.bincount(inverse) > 1)[inverse]  # a block asks once for each
+        answers = totals[inverse].astype(np.int64)
         at = 0
-        for row in asked:
-            length = len(row["keys"]) // 8
-            found.append({"block": row["block"], "level": level, "bucket": row["bucket"],
-                          "counts": answers[at:at + length].tobytes()})
-            at += length
+        for row, size in zip(asked, sizes):
+            found.append({"block": row["block"], "level": level, "bucket": row["bucket"], "n": size,
+                          "counts": pack_counts(answers[at:at + size]),
+                          "shared": np.packbits(shared[at:at + size]).tobytes()})
+            at += size
     return pa.Table.from_pylist(found, schema=ANSWERS_SCHEMA)
 
 
@@ -133,7 +233,7 @@ def _size(bucket: pa.Table) -> pa.Table:
     rows = [r for r in bucket.to_pylist() if r["level"] == 1]
     n = v = 0
     if rows:
-        keys, totals, _ = _sums(rows)
+        keys, totals, _, _ = _sums(rows)
         token = keys != BEGIN_KEY
         n, v = int(totals[token].sum()), int((totals[token] > 0).sum())
     return pa.table({"n": pa.array([n], pa.int64()), "v": pa.array([v], pa.int64())})
@@ -142,16 +242,15 @@ def _size(bucket: pa.Table) -> pa.Table:
 class Automaton:
     """States and arcs that the n-grams of some tokens can reach.
 
-    ``counts[n - 1]``: training counts of the sorted distinct n-grams of level n.
+    ``levels``: the distinct n-grams with their training counts.
     """
 
-    def __init__(self, tokens: Tokens, counts: list[np.ndarray], n: int, v: int, mu: float):
+    def __init__(self, tokens: Tokens, levels: list[Level], n: int, v: int, mu: float):
         order = tokens.order
+        counts = [level.counts.astype(np.float64) for level in levels]
         self.base_total = n + 0.5 * (v + 1)
-        base_key = np.append(tokens.keys(1), BEGIN_KEY)
-        words, self.word = np.unique(base_key, return_inverse=True)
-        begin_word, self.word = self.word[-1], self.word[:-1]
-        self.width = len(words)
+        begin_word, self.word = levels[0].at[-1], levels[0].at[:-1]
+        self.width = len(counts[0])
         self.word_count = counts[0]
         chance = (counts[0] + 0.5) / self.base_total
         self.word_log = np.log10(chance)
@@ -167,10 +266,8 @@ class Automaton:
         self.start = int(node_of[begin_word]) if order > 1 else 0
         begin_count = counts[0][begin_word]
         for level in range(2, order + 1):
-            there = np.flatnonzero(tokens.place >= level - 2)
-            keys, first, at = np.unique(tokens.keys(level)[there], return_index=True, return_inverse=True)
-            spot = there[first]
-            count = counts[level - 1]
+            own = levels[level - 1]
+            spot, count = own.there[own.some], counts[level - 1]
             suffix = lower_at[spot]
             at_begin = tokens.place[spot] == level - 2  # its context starts with the begin mark
             if level == 2:
@@ -181,7 +278,7 @@ class Automaton:
                 context_count = counts[level - 2][lower_at[spot - 1]]
             here = (count + mu * lower_chance[suffix]) / (context_count + mu)
             known = count > 0
-            node = np.zeros(len(keys), np.int64)
+            node = np.zeros(len(count), np.int64)
             if level < order:
                 node[known] = nodes + np.arange(int(known.sum()))
                 nodes += int(known.sum())
@@ -190,9 +287,7 @@ class Automaton:
             arcs.append(context_node[known] * self.width + self.word[spot[known]])
             weights.append(np.log10(here[known]))
             targets.append(node[known] if level < order else lower_node[suffix[known]])
-            whole = np.full(len(tokens.hashes), -1, np.int64)
-            whole[there] = at
-            lower_node, lower_chance, lower_at = node, here, whole
+            lower_node, lower_chance, lower_at = node, here, own.spread(tokens)
         arcs, weights, targets = map(np.concatenate, (arcs, weights, targets))
         order_ = np.argsort(arcs)
         self.arcs, self.weights, self.targets = arcs[order_], weights[order_], targets[order_]
@@ -206,7 +301,10 @@ class Automaton:
         todo = np.arange(len(state))
         while len(todo):
             wanted = state[todo] * self.width + word[todo]
-            at = np.minimum(np.searchsorted(self.arcs, wanted), max(len(self.arcs) - 1, 0))
+            at = np.empty(len(wanted), np.int64)
+            by = np.argsort(wanted)  # near arcs are looked up one after the other
+            at[by] = np.searchsorted(self.arcs, wanted[by])
+            at = np.minimum(at, max(len(self.arcs) - 1, 0))
             hit = self.arcs[at] == wanted if len(self.arcs) else np.zeros(len(todo), bool)
             weight[todo[hit]] += self.weights[at[hit]]
             state[todo[hit]] = self.targets[at[hit]]
@@ -260,12 +358,13 @@ def _score(order: int, mu: float):
             return pa.table({"doc_id": block["doc_id"], **{n: pa.array([], k) for n, k in (
                 ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                 ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))}})
-        tokens = Tokens(as_strings(block["text"]), order)
-        rows = sorted(answers.to_pylist(), key=lambda r: (r["level"], r["bucket"]))
-        counts = [np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows if r["level"] == level])
-                  .astype(np.float64) for level in range(1, order + 1)]
+        rows = answers.to_pylist()
         n, v = rows[0]["size"]["n"], rows[0]["size"]["v"]
-        automaton = Automaton(tokens, counts, n, v, mu)
+        tokens, levels = _levels(block, order, rows)
+        del rows, answers
+        for level in levels:  # the automaton needs the counts alone
+            level.keys = level.asked = level.shared = None
+        automaton = Automaton(tokens, levels, n, v, mu)
         sums = lambda x: np.add.reduceat(x, tokens.starts[:-1])  # noqa: E731  every text has a token
         return pa.table({
             "doc_id": block["doc_id"], "held_out": block["held_out"],
@@ -280,7 +379,8 @@ def _score(order: int, mu: float):
 def score(docs: DataFrame, order: int = ORDER, mu: float = MU) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of all rows of ``docs``.
 
-    The blocks' texts and their packed n-grams are each shuffled once (their exchanges are reused).
+    The blocks' texts and their packed n-grams are each shuffled once (their exchanges are reused); the answers
+    about words and pairs, which longer n-grams and the scores both need, are made twice from the same exchange.
     """
     total = text_bytes(docs)
     blocks = parts_for(total, BLOCK_BYTES)
@@ -292,7 +392,12 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU) -> DataFrame:
     grams = dealt.groupBy("block").applyInArrow(_grams(order, bits), GRAMS_DDL)
     sizes = grams.groupBy("bucket").applyInArrow(_size, "n long, v long").agg(
         F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).alias("s"))
-    answers = grams.groupBy("bucket").applyInArrow(_answer, ANSWERS_DDL).withColumn("size", sizes.scalar())
+    answers = grams.groupBy("bucket").applyInArrow(_answer, ANSWERS_DDL)
+    for level in range(3, order + 1):
+        told = answers.withColumn("counts", F.lit(None).cast("binary"))  # only which n-grams others hold
+        asked = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_longer(level, bits), GRAMS_DDL)
+        answers = answers.unionByName(asked.groupBy("bucket").applyInArrow(_answer, ANSWERS_DDL))
+    answers = answers.withColumn("size", sizes.scalar())
     kind = docs.schema["doc_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(order, mu), f"doc_id {kind}, {SCORES}")
