@@ -3,6 +3,11 @@
 Toxic documents go; lines found in ten documents or more go; one document of each near-duplicate class
 stays; each document is emitted as often as its source's target asks; what is left is packed. Documents
 whose lines all go stay with an empty text. All stages but the last return the columns of ``documents``.
+
+Defined cases: null texts are scored, compared and packed as empty ones (one document without words stays for all
+of them); null ids and null sources are values like others; of rows equal in id and text one stays; ties
+between rows are decided as each stage's module says; empty tables give empty results; other columns of
+``documents``, whatever their names, come through all stages but the last.
 """
 
 from __future__ import annotations

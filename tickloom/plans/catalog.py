@@ -220,6 +220,12 @@ def recent_ticks(spark, sf_dir):
     return filters.recent(ticks, "5 seconds", filters.latest_moment(ticks))
 
 
+@query("recent_ticks_1d")
+def recent_ticks_1d(spark, sf_dir):
+    ticks = _plain(spark, sf_dir)
+    return filters.recent(ticks, "1 day", filters.latest_moment(ticks))
+
+
 @query("lookback_bars")
 def lookback_bars(spark, sf_dir):
     ticks = _plain(spark, sf_dir)
@@ -418,6 +424,19 @@ def stream_microbatch(spark, sf_dir):
     return written[0].unionByName(written[1])
 
 
+@query("stream_microbatch_steps")
+def stream_microbatch_steps(spark, sf_dir):
+    """Four micro-batches in the order of time, each labelled by its newest tick of the symbol, into both tables."""
+    store, checkpoints = _available(spark, "stream_microbatch_steps")
+    feed = views.replay(spark, sf_dir, store.path("feed"), parts=4)
+    tables = [MICROBATCH, next(iter(LEVELS))]
+    for step in (1, 3):
+        streams.start_bars_batch(views.flat_ticks(feed(step)), store, checkpoints, tables, "available now",
+                                 F.col("Trade_Time")).awaitTermination()
+    written = [store.scan_table(t).drop(*MA_NAMES).withColumn("table_name", F.lit(t)) for t in tables]
+    return written[0].unionByName(written[1])
+
+
 @query("stream_bars")
 def stream_bars(spark, sf_dir):
     store, checkpoints = _available(spark, "stream_bars")

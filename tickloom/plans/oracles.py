@@ -82,6 +82,18 @@ bars AS (
     FROM ticks, last GROUP BY 1)
 """
 
+MICROBATCH_STEPS = f"""WITH ticks AS ({FLAT}), span AS (
+    SELECT min(epoch_us("Trade_Time")) AS low, max(epoch_us("Trade_Time")) AS high FROM ticks),
+steps AS (SELECT ticks.*, (epoch_us("Trade_Time") - low) // ((high - low) // 4 + 1) AS step FROM ticks, span),
+bars AS (
+    SELECT "Symbol", time_bucket(INTERVAL '5 seconds', max("Trade_Time")) - INTERVAL 5 SECOND AS "time",
+           arg_min("Price", ("Trade_Time", "Seq")) AS "Open", max("Price") AS "High", min("Price") AS "Low",
+           arg_max("Price", ("Trade_Time", "Seq")) AS "Close", sum("Volume") AS "Total_Volume",
+           strftime(max("Trade_Time") + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S.%g') AS "Spark_Time",
+           min("Timestamp_Web") AS "Start_Time", max("Timestamp_Web") AS "End_Time"
+    FROM steps GROUP BY "Symbol", step)
+"""
+
 YESTERDAY_TOP = f"""WITH ticks AS ({LINEITEM}),
 top AS (
     SELECT "Symbol", sum("Volume") AS v FROM ticks
@@ -315,6 +327,8 @@ FROM bars, (VALUES ('5sec'), ('5sec-monitor')) AS tables(table_name)""",
     "stream_cascade": closed_levels("10 days"),
 }
 ORACLES |= {
+    "recent_ticks_1d": ORACLES["recent_ticks"].replace("INTERVAL 5 SECOND", "INTERVAL 1 DAY"),
+    "stream_microbatch_steps": MICROBATCH_STEPS + ORACLES["stream_microbatch"].removeprefix(MICROBATCH),
     "stream_stale": ORACLES["stale_intervals"],
     "stream_seq_gaps": ORACLES["seq_gaps"],
     "stream_assign_seq": ORACLES["assign_seq"],
