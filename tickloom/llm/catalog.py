@@ -51,7 +51,30 @@ def op2_line_dedup(spark, sf_dir):
                        F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query("op3_minhash_near_dedup")
+@query("op3_minhash_near_dedup", r"""
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT r, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM given),
+weighed AS (SELECT r, s, count(*) AS c FROM shingles GROUP BY ALL),
+sizes AS (SELECT r, sum(c) AS t FROM weighed GROUP BY r),
+common AS (
+  SELECT a.r AS ra, b.r AS rb, sum(least(a.c, b.c)) AS m
+  FROM weighed a JOIN weighed b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+links AS (
+  SELECT ra, rb FROM common JOIN sizes x ON x.r = ra JOIN sizes y ON y.r = rb WHERE 10 * m >= 8 * (x.t + y.t - m)),
+ways AS (SELECT ra AS one, rb AS other FROM links UNION ALL SELECT rb, ra FROM links),
+reached AS (
+  SELECT r, r AS c FROM given
+  UNION
+  SELECT ways.other, reached.c FROM reached JOIN ways ON ways.one = reached.r),
+classes AS (SELECT reached.r, min(given.doc_id) AS class_id FROM reached JOIN given ON given.r = reached.c GROUP BY reached.r)
+SELECT doc_id, class_id FROM given JOIN classes USING (r)""")
 def op3_minhash_near_dedup(spark, sf_dir):
     found = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "class_id")
