@@ -6,7 +6,7 @@ from tests.conftest import at, rows, seconds_of, ticks
 from tickloom.operators import bars, quality
 from tickloom.schema import BAR_FIELDS
 from tickloom.sources.store import TickStore
-from tickloom.streaming import health, queries
+from tickloom.streaming import health, progress, queries
 
 
 def replayed(spark, path, batches, start, checkpoint, restarts=(1,)):
@@ -79,3 +79,36 @@ def test_late_ticks_are_put_aside_and_their_bars_repaired(spark, tmp_path):
     low, high = health.repair_late(store, "1 hour", late)
     assert (seconds_of(low.replace(tzinfo=None)), high) == (3 * 3600.0 + 5, at(5 * 3600 + 5))
     assert rows(store.scan_bars("1 hour").select(columns), "time") == direct
+
+
+def test_one_read_feeds_both_tables_and_a_failure_between_them_leaves_both_equal(spark, tmp_path, monkeypatch):
+    store = TickStore(spark, str(tmp_path / "store"))
+    flat = lambda df: df.selectExpr(
+        "Symbol", "Price", "Volume", "Trade_Time", "Seq", "array('x') AS Trade_type", "'a' AS Hash_Web", "'' AS Timestamp_Web",
+        "1L AS Offset", "1 AS Partition", "if(Seq = 3, 'b', 'a') AS Hash_Spark")
+    batches = [flat(ticks(spark, [("A", 1.0, 1.0, 1.0, 1), ("B", 2.0, 1.0, 2.0, 2)])),
+               flat(ticks(spark, [("A", None, 1.0, 61.0, 3), ("A", 4.0, 1.0, 62.0, 4)]))]
+    path, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    for batch in batches:
+        batch.coalesce(1).write.mode("append").parquet(path)
+    stream = lambda: spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+    plain, broken = TickStore.upsert_all, []
+
+    def once_lost(self, new):
+        if store.scan_ticks().count() > 2 and not broken:
+            broken.append(1)
+            raise OSError("lost")
+        return plain(self, new)
+
+    monkeypatch.setattr(TickStore, "upsert_all", once_lost)
+    start = lambda: queries.start_raw_and_bars(stream(), store, cp, trigger="available now", clock=F.col("Trade_Time"))
+    try:
+        start().awaitTermination()
+    except Exception as error:
+        assert "lost" in str(error)
+    run = start()
+    run.awaitTermination()
+    assert broken and rows(store.scan_ticks().select("Seq"), "Seq") == [(1,), (2,), (3,), (4,)]
+    assert rows(store.scan_table("5sec").select("Symbol", "Close"), "Symbol", "Close") == [("A", 1.0), ("A", 4.0), ("B", 2.0)]
+    told = progress.observed(progress.recent_progress(spark, run)).collect()
+    assert [(r.ticks, r.no_price, r.foreign) for r in told] == [(2, 1, 1)]

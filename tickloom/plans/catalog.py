@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from tickloom.functions import times
 from tickloom.operators import bars, filters, messages, ordered, quality, universe
 from tickloom.plans import refresh, views
-from tickloom.schema import BAR_FIELDS, MA_WINDOWS
+from tickloom.schema import BAR_FIELDS, MA_WINDOWS, OBSERVED
 from tickloom.session import scratch_path
 from tickloom.sources import codec, lines
 from tickloom.sources.store import LEVELS, MICROBATCH, RAW, TickStore, merge_bars
-from tickloom.streaming import health
+from tickloom.streaming import health, progress
 from tickloom.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -413,6 +413,28 @@ def raw_backfill(spark, sf_dir):
     return store.scan_ticks().withColumn("Trade_type", F.to_json("Trade_type"))
 
 
+@query("stream_observed")
+def stream_observed(spark, sf_dir):
+    """What four micro-batches counted on their way into the raw table, added up."""
+    store, checkpoints = _available(spark, "stream_observed")
+    feed = views.replay(spark, sf_dir, store.path("feed"), parts=4)
+    run = streams.start_raw(views.flat_ticks(feed(3)), store, checkpoints, "available now")
+    run.awaitTermination()
+    told = progress.observed(progress.recent_progress(spark, run))
+    return told.groupBy("name").agg(*[F.sum(n).alias(n) for n in OBSERVED])
+
+
+@query("stream_raw_and_bars")
+def stream_raw_and_bars(spark, sf_dir):
+    """Four micro-batches into the raw table and a bar table, read once; the raw rows."""
+    store, checkpoints = _available(spark, "stream_raw_and_bars")
+    feed = views.replay(spark, sf_dir, store.path("feed"), parts=4)
+    for step in (1, 3):
+        streams.start_raw_and_bars(views.flat_ticks(feed(step)), store, checkpoints, trigger="available now",
+                                   clock=F.col("Trade_Time")).awaitTermination()
+    return store.scan_ticks().withColumn("Trade_type", F.to_json("Trade_type"))
+
+
 @query("stream_microbatch")
 def stream_microbatch(spark, sf_dir):
     store, checkpoints = _available(spark, "stream_microbatch")

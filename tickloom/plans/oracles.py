@@ -327,6 +327,11 @@ FROM bars, (VALUES ('5sec'), ('5sec-monitor')) AS tables(table_name)""",
     "stream_cascade": closed_levels("10 days"),
 }
 ORACLES |= {
+    "stream_raw_and_bars": ORACLES["stream_raw"],
+    "stream_observed": f"""WITH ticks AS ({FLAT})
+SELECT 'raw' AS "name", count(*) AS ticks, count(*) FILTER ("Price" IS NULL OR isnan("Price")) AS no_price,
+       count(*) FILTER ("Hash_Web" IS DISTINCT FROM "Hash_Spark") AS "foreign"
+FROM ticks""",
     "recent_ticks_1d": ORACLES["recent_ticks"].replace("INTERVAL 5 SECOND", "INTERVAL 1 DAY"),
     "stream_microbatch_steps": MICROBATCH_STEPS + ORACLES["stream_microbatch"].removeprefix(MICROBATCH),
     "stream_stale": ORACLES["stale_intervals"],

@@ -79,9 +79,15 @@ PROGRESS = T.StructType([
     ]))),
 ])
 
-# As logged: also what each stateful operator left out for being late.
-PROGRESS_LOG = T.StructType([*PROGRESS.fields, T.StructField("stateOperators", T.ArrayType(T.StructType([
-    T.StructField("numRowsDroppedByWatermark", T.LongType())])))])
+# As logged: also what each stateful operator left out for being late, and what was counted on the way.
+OBSERVED = ("ticks", "no_price", "foreign")
+PROGRESS_LOG = T.StructType([
+    *PROGRESS.fields, T.StructField("batchId", T.LongType()),
+    T.StructField("stateOperators", T.ArrayType(T.StructType([
+        T.StructField("numRowsDroppedByWatermark", T.LongType())]))),
+    T.StructField("observedMetrics", T.StructType([
+        T.StructField("ticks", T.StructType([T.StructField(n, T.LongType()) for n in OBSERVED]))])),
+])
 
 
 def tick_schema() -> str:

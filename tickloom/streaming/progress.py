@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tickloom.schema import PROGRESS_LOG
+from tickloom.schema import OBSERVED, PROGRESS_LOG
 
 
 class ProgressLog(StreamingQueryListener):
@@ -62,6 +62,16 @@ def late_rows(progress: DataFrame) -> DataFrame:
     return progress.groupBy("name").agg(F.coalesce(F.sum(dropped), F.lit(0)).alias("late_rows"))
 
 
+def observed(progress: DataFrame) -> DataFrame:
+    """Per query and micro-batch, the ticks, missing prices and foreign fingerprints that were counted.
+
+    A batch that ran again counts once, as it ended.
+    """
+    told = progress.filter(F.col("observedMetrics.ticks").isNotNull())
+    last = told.groupBy("name", "batchId").agg(F.max_by("observedMetrics.ticks", "timestamp").alias("told"))
+    return last.select("name", "batchId", *[F.col(f"told.{n}").alias(n) for n in OBSERVED])
+
+
 def recent_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The reports a running query still holds (a bounded number) as the same table."""
     lines = [(report.json,) for report in query.recentProgress]

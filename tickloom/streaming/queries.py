@@ -28,6 +28,29 @@ def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=trigger)
 
 
+def counted(ticks: DataFrame) -> DataFrame:
+    """``ticks`` whose progress reports also tell the ticks, missing prices and foreign fingerprints of each batch.
+
+    Counted in the tasks that read the stream anyway; ``progress.observed`` shows them.
+    """
+    count = lambda condition: F.count(F.when(condition, 1))
+    return ticks.observe(
+        "ticks", F.count(F.lit(1)).alias("ticks"), count(F.col("Price").isNull() | F.isnan("Price")).alias("no_price"),
+        count(~F.col("Hash_Web").eqNullSafe(F.col("Hash_Spark"))).alias("foreign"))
+
+
+class _Batches:
+    """Names of a stream's micro-batches: the id that the checkpoint gives its query, and the batch's number."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self._spark, self._metadata, self._owner = spark, f"{checkpoint.rstrip('/')}/metadata", None
+
+    def name(self, batch_id: int) -> str:
+        if self._owner is None:
+            self._owner = self._spark.read.schema("id string").json(self._metadata).first()["id"]
+        return f"{self._owner}-{batch_id}"
+
+
 def start_raw(ticks: DataFrame, store: TickStore, checkpoint: str, trigger: str | None = None,
               clock: Column | None = None, name: str = "raw") -> StreamingQuery:
     """Append flat ticks to the raw table, exactly once, beside any batch loads.
@@ -35,15 +58,37 @@ def start_raw(ticks: DataFrame, store: TickStore, checkpoint: str, trigger: str
     A micro-batch is one named batch of the table; repeated after a failure, it replaces itself. The
     name holds the id that the checkpoint gives its query, so streams never replace one another.
     """
-    owner: list[str] = []
+    batches = _Batches(store.spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not owner:
-            told = store.spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata")
-            owner.append(told.first()["id"])
-        store.append_ticks(batch, f"{owner[0]}-{batch_id}")
+        store.append_ticks(batch, batches.name(batch_id))
 
-    stamped = ticks.select(*FLAT_TICK.names).withColumn(
+    stamped = counted(ticks.select(*FLAT_TICK.names)).withColumn(
+        "Spark_Time", clock if clock is not None else F.current_timestamp())
+    writer = stamped.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, trigger).start()
+
+
+def start_raw_and_bars(ticks: DataFrame, store: TickStore, checkpoint: str, tables: Sequence[str] = (MICROBATCH,),
+                       trigger: str | None = BAR_TRIGGER, clock: Column | None = None,
+                       name: str = "raw_and_bars") -> StreamingQuery:
+    """One read of the source for both sinks: the raw table and the micro-batch bars get the same batches.
+
+    A batch that fails between the two writes runs again as a whole: its raw folder replaces itself and its
+    bars have the same keys, so both end up equal.
+    """
+    batches = _Batches(store.spark, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()  # one micro-batch
+        try:
+            store.append_ticks(kept, batches.name(batch_id))
+            bars = microbatch_bars(kept, F.col("Spark_Time"))
+            store.upsert_all({table: bars for table in tables})
+        finally:
+            kept.unpersist()
+
+    stamped = counted(ticks.select(*FLAT_TICK.names)).withColumn(
         "Spark_Time", clock if clock is not None else F.current_timestamp())
     writer = stamped.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, trigger).start()
