@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,79 @@ def test_short_passages_with_one_edit_are_found(spark):
     assert {r["doc_id"]: (r["start_word"], r["end_word"]) for r in found} == dict(enumerate(where))
 
 
+def test_passages_are_found_where_other_texts_hold_parts_of_them(spark):
+    """Texts that come first in their min-hash groups and hold 20 to 45 words of a shared passage."""
+    rng = random.Random(44)
+    shared = [words(rng, 70) for _ in range(8)]
+    texts, holds = [], set()
+    for i in range(240):
+        own, passage = words(rng, 120), shared[i % 8]
+        at = rng.randrange(len(own))
+        if i % 3 == 0:
+            holds.add(i)
+            own[at:at] = passage
+        else:
+            begin, size = rng.randrange(25), rng.randint(20, 45)
+            own[at:at] = passage[begin:begin + size]
+        texts.append(" ".join(own))
+    found = {r["doc_id"] for r in passages.repeated_passages(documents(spark, texts)).collect()}
+    assert len(found & holds) >= 0.97 * len(holds)
+    assert not found - holds
+
+
+def test_passages_with_a_word_put_in_are_found(spark):
+    rng = random.Random(45)
+    texts = []
+    for i in range(100):
+        one = words(rng, 90)
+        two = one[:45] + ["more"] + one[45:] if i % 2 else one[:44] + one[45:]
+        texts += [" ".join(words(rng, 40) + copy + words(rng, 40)) for copy in (one, two)]
+    found = collections.defaultdict(list)
+    for r in passages.repeated_passages(documents(spark, texts)).collect():
+        found[r["doc_id"]].append(r["end_word"] - r["start_word"])
+    assert len(found) >= 180 and all(85 <= max(own) <= 95 for own in found.values())
+
+
+def similarity(one, other):
+    """Jaccard similarity of the shingle sets of two passages."""
+    a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (one, other))
+    return len(a & b) / len(a | b)
+
+
+def test_query_against_all_pairs(spark, tmp_path):
+    """Pairs of 50-word stretches that begin and end alike and are similar enough are covered, and no other text is named."""
+    rng = random.Random(46)
+    pool = [words(rng, n) for n in (52, 60, 75, 110)]
+    texts = []
+    for i in range(40):
+        own, copy = words(rng, rng.randint(30, 80)), list(rng.choice(pool))
+        if rng.random() < 0.4:
+            copy[rng.randrange(len(copy))] = "changed"
+        if rng.random() < 0.6:
+            own[rng.randrange(len(own)):0] = copy
+        texts.append(own)
+    documents(spark, [" ".join(t) for t in texts]).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = QUERIES["op4_substring_dedup"](spark, str(tmp_path)).collect()
+    covered = collections.defaultdict(set)
+    for r in rows:
+        covered[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+        one = texts[r["doc_id"]][r["start_word"]:r["end_word"]]
+        assert len(one) >= 50
+    wanted = collections.defaultdict(set)
+    for i, one in enumerate(texts):
+        for j, other in enumerate(texts):
+            for shift in range(-len(one), len(other)) if i != j else ():
+                low, high = max(0, -shift), min(len(one), len(other) - shift)
+                for x in range(low, high - 49):
+                    here, there = one[x:x + 50], other[x + shift:x + shift + 50]
+                    if here[:5] == there[:5] and here[-5:] == there[-5:] and similarity(here, there) >= 0.8:
+                        wanted[i].update(range(x, x + 50))
+    total = sum(map(len, wanted.values()))
+    assert total > 500 and sum(len(wanted[i] & covered[i]) for i in wanted) >= 0.9 * total
+    assert sum(1 for i in wanted if covered[i]) >= 0.95 * len(wanted)
+    assert set(covered) <= set(wanted)
+
+
 def test_passages_of_odd_rows(odd_docs, no_docs):
     assert passages.repeated_passages(odd_docs).count() == 0
     assert passages.repeated_passages(no_docs).count() == 0
@@ -208,10 +282,30 @@ def labelled(spark, seed, n):
     return df.drop("quality", "toxic"), df.select("doc_id", "quality", "toxic")
 
 
+def test_both_links_of_the_chain_work_on_unseen_rows_of_the_given_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    models = toxicity.train(docs, labels.where("doc_id % 2 = 0"), toxicity.CATEGORIES)
+    scored = toxicity.score(docs, models, ["poor", "toxic"]).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    for found, truth, least in (("p_poor", lambda r: r["quality"] == 0, 0.8), ("p_toxic", lambda r: r["toxic"] == 1, 0.5)):
+        hit = [r for r in scored if r[found] >= 0.5]
+        assert sum(map(truth, hit)) >= least * sum(map(truth, scored))
+        assert sum(map(truth, hit)) >= 0.95 * len(hit)
+
+
+def test_figures_of_texts():
+    given = pa.array(["Ab 12, ab\n", "", "\u00e9\u00e9"], pa.large_string())
+    found = toxicity.figures(given, toxicity.Words(given))
+    assert found.shape == (3, toxicity.FIGURES) and np.isfinite(found).all()
+    assert np.allclose(found[0], [np.log1p(3) / 5, 2 / 3, 10 / 3 / 10, 0.2, 0.1, 0.1, 0, 2.0, 4 / 9, np.sqrt(0.2), np.sqrt(0.1)])
+    assert found[2][6] == 1.0 and not found[1].any()
+    assert np.allclose(toxicity.figures(given[1:], toxicity.Words(given[1:])), found[1:])
+
+
 def test_chain_is_right_on_unseen_documents(spark):
     docs, labels = labelled(spark, 1, 900)
     models = toxicity.train(docs, labels, toxicity.CATEGORIES)
-    assert len(models[1]["earlier"]) == 1
+    assert len(models[1]["earlier"]) == toxicity.FIGURES + 1
     unseen, truth = labelled(spark, 2, 300)
     scored = toxicity.score(unseen, models, list(toxicity.CATEGORIES)).join(truth, "doc_id").collect()
     assert np.mean([(r["p_toxic"] >= 0.5) == (r["toxic"] == 1) for r in scored]) > 0.97
