@@ -3,7 +3,9 @@
 Categories are predicted one after the other; the probability of each is a feature of all later models.
 For training, those probabilities come from models that did not see the row (``FOLDS`` folds), so later
 models learn from the same kind of value that they meet when scoring. Features are counts of hashed words
-and of their first letters; the models are logistic with an L1 penalty, which leaves most weights at 0.
+and of their first letters, and some figures of the whole text (length, lines, share of distinct words, of digits,
+marks, capitals and other letters); the models are logistic with an L1 penalty on the former, which leaves
+most of those weights at 0.
 
 Training takes a bounded sample of labelled rows (``TRAIN_ROWS`` with and ``TRAIN_ROWS * CLEAN_PER_TOXIC``
 without the last category, lowest hash of the id first) in one task; its model of at most ``FEATURES``
@@ -22,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.text import as_strings, lowered_words, shielded
+from tickloom.llm.text import as_strings, lowered_words, shielded, slices
 
 TRAIN_ROWS = 3_000
 CLEAN_PER_TOXIC = 3
@@ -37,6 +40,10 @@ LEAST_DOCS = 4
 PENALTY = 2e-4
 STEPS = 80
 THRESHOLD = 0.5
+#: Bytes of texts that are scored at a time; each distinct word among them is hashed once.
+SCORED_BYTES = 12 << 20
+#: Columns of ``figures``.
+FIGURES = 11
 MARKS = ".,;:!?()[]{}\"'*%#$&"
 
 
@@ -73,21 +80,64 @@ class Words:
         return distinct // FEATURES, distinct % FEATURES, counts.astype(np.float64)
 
 
+def byte_shares(texts: pa.Array) -> np.ndarray:
+    """Shares of digits, marks, capitals, bytes of other letters and line ends among the bytes of each text."""
+    kinds = np.zeros((5, 256), bool)
+    kinds[0, ord("0"):ord("9") + 1] = True
+    kinds[1, [b for b in range(33, 127) if not chr(b).isalnum()]] = True
+    kinds[2, ord("A"):ord("Z") + 1] = True
+    kinds[3, 128:] = True
+    kinds[4, ord("\n")] = True
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    raw, offsets = raw[offsets[0]:offsets[-1]], offsets - offsets[0]
+    running, shares = np.zeros(len(raw) + 1, np.int32), []
+    for kind in kinds:
+        np.cumsum(kind[raw], out=running[1:])
+        shares.append((running[offsets[1:]] - running[offsets[:-1]]) / np.maximum(np.diff(offsets), 1))
+    return np.column_stack(shares)
+
+
+def figures(texts: pa.Array, words: Words) -> np.ndarray:
+    """Some figures of each text, each of them between 0 and about 2 for ordinary texts."""
+    if not len(texts):
+        return np.empty((0, FIGURES))
+    shares = np.concatenate([byte_shares(own) for own in slices(texts)])
+    size, number = np.asarray(pc.binary_length(texts)), np.diff(words.starts)
+    doc_of = np.repeat(np.arange(len(number)), number)
+    width = int(words.codes.max(initial=0)) + 1
+    own = np.unique(doc_of * width + words.codes) // width
+    distinct = np.bincount(own, minlength=len(number)) / np.maximum(number, 1)
+    return np.column_stack([np.log1p(number) / 5, distinct, size / np.maximum(number, 1) / 10, shares[:, :4],
+                            20 * shares[:, 4], distinct ** 2, np.sqrt(shares[:, 0]), np.sqrt(shares[:, 1])])
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Rows:
-    """Sparse rows: document, column and value of each entry, sorted by document."""
+    """Sparse rows: document, column and value of each entry, sorted by document, and once more by column."""
 
     def __init__(self, doc: np.ndarray, column: np.ndarray, value: np.ndarray, docs: int, columns: int):
         self.doc, self.column, self.value, self.docs, self.columns = doc, column, value, docs, columns
+        self.by_doc = np.flatnonzero(np.diff(doc, prepend=-1))
+        order = np.argsort(column, kind="stable")
+        self.turned_doc, self.turned_value, column = doc[order], value[order], column[order]
+        self.by_column = np.flatnonzero(np.diff(column, prepend=-1))
+        self.some_docs, self.some_columns = doc[self.by_doc], column[self.by_column]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.doc, self.value * weights[self.column], self.docs)
+        out = np.zeros(self.docs)
+        if len(self.by_doc):
+            out[self.some_docs] = np.add.reduceat(self.value * weights[self.column], self.by_doc)
+        return out
 
     def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.bincount(self.column, self.value * errors[self.doc], self.columns)
+        out = np.zeros(self.columns)
+        if len(self.by_column):
+            out[self.some_columns] = np.add.reduceat(self.turned_value * errors[self.turned_doc], self.by_column)
+        return out
 
     def only(self, keep: np.ndarray) -> Rows:
         number = np.cumsum(keep) - 1
@@ -102,35 +152,41 @@ def fit(rows: Rows, dense: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, np
     if share in (0.0, 1.0):
         return np.zeros(rows.columns), np.zeros(dense.shape[1]), bias0
     n, split = rows.docs, rows.columns
+    middle = dense.mean(0)
+    dense = dense - middle  # put back into the bias at the end
     square = np.bincount(rows.column, rows.value ** 2, rows.columns) / n
-    scale = 1.0 / np.sqrt(np.concatenate([square, (dense ** 2).mean(0), [1.0]]) + 1e-3)
+    scale = 1.0 / np.sqrt(np.concatenate([square + 1e-3, (dense ** 2).mean(0) + 1e-6, [1.0]]))
     state = np.zeros(split + dense.shape[1] + 1)
     state[-1] = bias0
     ahead, momentum, step = state.copy(), 1.0, 1.0
     punished = np.ones(len(state))
     punished[split:] = 0.0
 
-    def loss_of(w):
-        z = rows.times((w * scale)[:split]) + dense @ (w * scale)[split:-1] + w[-1] * scale[-1]
-        return np.logaddexp(0, z).mean() - (goal * z).mean(), z
+    def drawn(w):
+        return rows.times((w * scale)[:split]) + dense @ (w * scale)[split:-1] + w[-1] * scale[-1]
+
+    def loss_of(z):
+        return np.logaddexp(0, z).mean() - (goal * z).mean()
 
+    z_state = z_ahead = drawn(state)
     for _ in range(STEPS):
-        loss, z = loss_of(ahead)
-        error = (sigmoid(z) - goal) / n
+        loss = loss_of(z_ahead)
+        error = (sigmoid(z_ahead) - goal) / n
         slope = np.concatenate([rows.back(error), error @ dense, [error.sum()]]) * scale
         while True:
             moved = ahead - step * slope
             new = np.sign(moved) * np.maximum(np.abs(moved) - step * PENALTY * punished, 0)
-            change = new - ahead
-            if loss_of(new)[0] <= loss + slope @ change + change @ change / (2 * step) + 1e-12:
+            change, z_new = new - ahead, drawn(new)
+            if loss_of(z_new) <= loss + slope @ change + change @ change / (2 * step) + 1e-12:
                 break
             step /= 2
         following = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
-        ahead = new + (momentum - 1) / following * (new - state)
-        state, momentum = new, following
+        push = (momentum - 1) / following
+        ahead, z_ahead = new + push * (new - state), z_new + push * (z_new - z_state)  # both are linear
+        state, z_state, momentum = new, z_new, following
         step *= 1.3
     whole = state * scale
-    return whole[:split], whole[split:-1], float(whole[-1])
+    return whole[:split], whole[split:-1], float(whole[-1] - middle @ whole[split:-1])
 
 
 def fold_of(doc_ids: list[int], folds: int) -> np.ndarray:
@@ -143,13 +199,16 @@ MODEL_DDL = "category int, bias double, features binary, weights binary, earlier
 def _train(categories: list[str], folds: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        doc, feature, count = Words(as_strings(table["text"])).counted()
+        texts = as_strings(table["text"])
+        words = Words(texts)
+        told = figures(texts, words)
+        doc, feature, count = words.counted()
         docs = np.bincount(feature, minlength=FEATURES)
         common = docs[feature] >= LEAST_DOCS
         kept, column = np.unique(feature[common], return_inverse=True)
         rows = Rows(doc[common], column, count[common], table.num_rows, len(kept))
         fold = fold_of(table["doc_id"].to_pylist(), folds)
-        earlier = np.empty((table.num_rows, 0))
+        earlier = told
         models = []
         for number, name in enumerate(categories):
             goal = np.asarray(table[name].to_pylist(), np.float64)
@@ -209,15 +268,18 @@ def score(docs: DataFrame, models: list[dict], names: list[str]) -> DataFrame:
             weights[model["features"]] = model["weights"]
             whole.append(weights)
         for batch in batches:
-            words = Words(as_strings(batch["text"]))
-            chain: list[np.ndarray] = []
-            for model, weights in zip(models, whole):
-                z = words.sums(weights) + model["bias"]
-                for factor, earlier in zip(model["earlier"], chain):
-                    z = z + factor * earlier
-                chain.append(sigmoid(z))
-            for name, p in zip(names, chain):
-                batch = batch.append_column(f"p_{name}", pa.array(p))
+            found = [np.empty((0, len(names)))]
+            for texts in slices(as_strings(batch["text"]), SCORED_BYTES):
+                words = Words(texts)
+                chain = list(figures(texts, words).T)
+                for model, weights in zip(models, whole):
+                    z = words.sums(weights) + model["bias"]
+                    for factor, earlier in zip(model["earlier"], chain):
+                        z = z + factor * earlier
+                    chain.append(sigmoid(z))
+                found.append(np.column_stack(chain[FIGURES:]))
+            for name, p in zip(names, np.concatenate(found).T):
+                batch = batch.append_column(f"p_{name}", pa.array(np.ascontiguousarray(p)))
             yield batch
     fields = [T.StructField(f.name, f.dataType) for f in docs.schema]
     fields += [T.StructField(f"p_{name}", T.DoubleType()) for name in names]
