@@ -195,3 +195,29 @@ def test_streams_reject_nothing_the_batch_accepts(spark, feed):
     assert stream.isStreaming
     for df in (filters.recent(stream, "5 seconds"), quality.hash_mismatch(stream), queries.stream_bars(stream, "5 seconds")):
         assert df.isStreaming
+
+
+def test_replay_makes_one_batch_of_a_step_however_many_files(spark, tmp_path):
+    """Events in several files, the last step with a single row: four steps are four micro-batches, in order."""
+    given = str(tmp_path / "events.parquet")
+    for part in range(3):
+        spark.range(40).selectExpr(
+            f"id * 3 + {part} AS event_id", "timestamp_seconds(id * 60) AS ts", "id AS user_id", "'a' AS event_type",
+            "1.0D AS value", "'{\"k\": 1}' AS props").coalesce(1).write.mode("append").parquet(given)
+    step = F.least(F.floor(F.col("event_id") / 50), F.lit(2)) + F.when(F.col("event_id") == 119, 1).otherwise(0)
+    seen = {}
+    with_many_scans = {"spark.sql.files.maxPartitionBytes": "1024", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in with_many_scans}
+    for k, v in with_many_scans.items():
+        spark.conf.set(k, v)
+    try:
+        assert views.read_events(spark, str(tmp_path)).rdd.getNumPartitions() > 2
+        feed = views.replay(spark, str(tmp_path), str(tmp_path / "feed"), 4, step)
+        for last in (1, 3):
+            feed(last).writeStream.foreachBatch(
+                lambda batch, number: seen.update({number: sorted(r["event_id"] for r in batch.collect())})).option(
+                "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert seen == {0: list(range(50)), 1: list(range(50, 100)), 2: list(range(100, 119)), 3: [119]}

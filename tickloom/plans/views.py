@@ -84,12 +84,15 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay(spark: SparkSession, sf_dir: str, path: str, parts: int,
            by: Column | None = None) -> Callable[[int], DataFrame]:
-    """The events written below ``path`` in ``parts`` steps, to be streamed one file per micro-batch.
+    """The events written below ``path`` in ``parts`` steps, to be streamed one step per micro-batch.
 
     By default the steps follow event time, else ``by`` names the step of a row. The result takes a
-    step: it writes what is missing up to it and opens all that is there as a stream.
+    step: it writes what is missing up to it and opens all that is there as a stream. Each step has as many
+    files as the scan of the events has partitions, empty ones where it has too few rows, and a micro-batch
+    takes that many: the number of micro-batches does not grow with the events.
     """
     events = read_events(spark, sf_dir)
+    files = max(1, events.rdd.getNumPartitions())
     if by is None:
         low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
         width = max(1, ((high or 0) - (low or 0)) // parts + 1)
@@ -98,9 +101,11 @@ def replay(spark: SparkSession, sf_dir: str, path: str, parts: int,
 
     def upto(step: int) -> DataFrame:
         while written[0] <= step:
-            events.filter(by == written[0]).write.mode("append").parquet(path)
+            events.filter(by == written[0]).repartition(files).write.mode("append").parquet(path)
             written[0] += 1
-        return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(path)
+            for _ in range(files * written[0] - len(spark.read.schema(EVENTS).parquet(path).inputFiles())):
+                spark.createDataFrame([], EVENTS).write.mode("append").parquet(path)
+        return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
 
     return upto
 
