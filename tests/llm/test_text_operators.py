@@ -370,3 +370,13 @@ def test_slices_cover_all_texts_and_cut_none():
     assert [t for p in parts for t in p] == texts
     assert all(len(p) == 1 or sum(map(len, p)) <= 100 for p in parts)
     assert list(text.slices(text.as_strings(pa.array([], pa.string())))) == []
+
+
+def test_pieces_of_many_texts_at_once_and_the_tokenizer_that_stays():
+    totals = np.array([1, 2, 7, 8, 9, 31, 0, 64])
+    lengths, number = packing.cut(totals, 8)
+    assert lengths.tolist() == [n for total in totals for n in packing.piece_lengths(int(total), 8)]
+    assert number.tolist() == [len(packing.piece_lengths(int(total), 8)) for total in totals]
+    coder = packing.coder_of(TOKENIZER)
+    coder._learn(["kept"])
+    assert packing.coder_of(TOKENIZER) is coder and "kept" in coder.place
