@@ -448,3 +448,13 @@ def test_stages_take_odd_rows(spark, odd_docs):
         docs = stage(spark, docs, SF_DIR)
         assert docs.columns == odd_docs.columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() >= docs.count()
+
+
+def test_features_are_counted_a_few_documents_at_a_time(monkeypatch):
+    texts = text.as_strings(pa.array(["a b a", None, "", "some words words", " b", "a"]))
+    whole = toxicity.Words(texts).counted()
+    monkeypatch.setattr(toxicity, "COUNTED_FEATURES", 3)
+    parts = toxicity.Words(texts).counted()
+    assert [p.tolist() for p in parts] == [w.tolist() for w in whole]
+    assert sum(p.itemsize for p in parts) == 12  # 24 bytes an entry before, 12 now
+    assert toxicity.Words(texts.slice(0, 0)).counted()[0].tolist() == []

@@ -42,6 +42,8 @@ STEPS = 80
 THRESHOLD = 0.5
 #: Bytes of texts that are scored at a time; each distinct word among them is hashed once.
 SCORED_BYTES = 12 << 20
+#: Features of training texts that are counted at a time.
+COUNTED_FEATURES = 1 << 20
 #: Columns of ``figures``.
 FIGURES = 11
 MARKS = ".,;:!?()[]{}\"'*%#$&"
@@ -70,14 +72,24 @@ class Words:
         return running[self.starts[1:]] - running[self.starts[:-1]]
 
     def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document, feature and count of each distinct pair."""
-        lengths = (self.ends[1:] - self.ends[:-1])[self.codes]
-        doc_of = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
-        until = np.cumsum(lengths)
-        spots = np.repeat(self.ends[self.codes] - (until - lengths), lengths) + np.arange(int(lengths.sum()))
-        pairs = np.repeat(doc_of, lengths) * FEATURES + self.features[spots]
-        distinct, counts = np.unique(pairs, return_counts=True)
-        return distinct // FEATURES, distinct % FEATURES, counts.astype(np.float64)
+        """Document, feature and count of each distinct pair; the documents are gone through a few at a time."""
+        number = np.diff(self.ends)
+        per_doc = np.add.reduceat(np.append(number[self.codes], 0), self.starts[:-1]) if len(self.starts) > 1 else []
+        per_doc = np.where(np.diff(self.starts) > 0, per_doc, 0)
+        part = np.cumsum(per_doc) // COUNTED_FEATURES
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(self.starts) - 1]
+        found = [(np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32))]
+        for begin, end in zip(edges, edges[1:]):
+            codes = self.codes[self.starts[begin]:self.starts[end]]
+            lengths = number[codes]
+            doc_of = np.repeat(np.arange(begin, end), np.diff(self.starts[begin:end + 1]))
+            until = np.cumsum(lengths)
+            spots = np.repeat(self.ends[codes] - (until - lengths), lengths) + np.arange(int(lengths.sum()))
+            distinct, counts = np.unique(np.repeat(doc_of, lengths) * FEATURES + self.features[spots], return_counts=True)
+            found.append(((distinct // FEATURES).astype(np.int32), (distinct % FEATURES).astype(np.int32),
+                          counts.astype(np.float32)))
+        doc, feature, count = (np.concatenate(column) for column in zip(*found))
+        return doc, feature, count
 
 
 def byte_shares(texts: pa.Array) -> np.ndarray:
@@ -117,7 +129,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Sparse rows: document, column and value of each entry, sorted by document, and once more by column."""
+    """Sparse rows: document, column and value of each entry, sorted by document, and once more by column.
+
+    Values are counts, kept as 32-bit floats, which hold them exactly; all sums are in double precision.
+    """
 
     def __init__(self, doc: np.ndarray, column: np.ndarray, value: np.ndarray, docs: int, columns: int):
         self.doc, self.column, self.value, self.docs, self.columns = doc, column, value, docs, columns
@@ -140,7 +155,7 @@ class Rows:
         return out
 
     def only(self, keep: np.ndarray) -> Rows:
-        number = np.cumsum(keep) - 1
+        number = (np.cumsum(keep) - 1).astype(np.int32)
         mine = keep[self.doc]
         return Rows(number[self.doc[mine]], self.column[mine], self.value[mine], int(keep.sum()), self.columns)
 
@@ -154,7 +169,7 @@ def fit(rows: Rows, dense: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, np
     n, split = rows.docs, rows.columns
     middle = dense.mean(0)
     dense = dense - middle  # put back into the bias at the end
-    square = np.bincount(rows.column, rows.value ** 2, rows.columns) / n
+    square = np.bincount(rows.column, rows.value.astype(np.float64) ** 2, rows.columns) / n
     scale = 1.0 / np.sqrt(np.concatenate([square + 1e-3, (dense ** 2).mean(0) + 1e-6, [1.0]]))
     state = np.zeros(split + dense.shape[1] + 1)
     state[-1] = bias0
@@ -205,8 +220,10 @@ def _train(categories: list[str], folds: int):
         doc, feature, count = words.counted()
         docs = np.bincount(feature, minlength=FEATURES)
         common = docs[feature] >= LEAST_DOCS
-        kept, column = np.unique(feature[common], return_inverse=True)
+        kept = np.flatnonzero(docs >= LEAST_DOCS)
+        column = (np.cumsum(docs >= LEAST_DOCS) - 1).astype(np.int32)[feature[common]]
         rows = Rows(doc[common], column, count[common], table.num_rows, len(kept))
+        del words, doc, feature, count, common, column, texts  # the rows alone are worked on
         fold = fold_of(table["doc_id"].to_pylist(), folds)
         earlier = told
         models = []
