@@ -458,3 +458,42 @@ def test_features_are_counted_a_few_documents_at_a_time(monkeypatch):
     assert [p.tolist() for p in parts] == [w.tolist() for w in whole]
     assert sum(p.itemsize for p in parts) == 12  # 24 bytes an entry before, 12 now
     assert toxicity.Words(texts.slice(0, 0)).counted()[0].tolist() == []
+
+
+def _texts_with_one_window(rng, number, held):
+    """Windows of one min-hash in ``number`` texts: in each own shingles, but those of ``held`` in its place."""
+    rows = rng.integers(0, 2 ** 63, (number, 161), np.uint64)
+    rows[:, 80] = 7
+    for texts, begin, end in held:
+        rows[texts, begin:end] = rows[texts[0], begin:end]
+    windows = np.zeros(number, passages.WINDOW)
+    windows["text"], windows["at"], windows["right"] = np.arange(number), 80, 160
+    around = [passages.neighbourhoods(row) for row in rows]
+    windows["before"], windows["behind"] = [b[80] for b, _ in around], [b[80] for _, b in around]
+    return windows
+
+
+def test_every_pair_of_a_group_that_shares_a_passage_is_linked():
+    """Pairs whose neighbours in both orders share more, on one side, than their own partners do."""
+    rng = np.random.default_rng(5)
+    for number in (40, 400):
+        held = [([0, *range(4, number)], 60, 100)]  # too short, but next to each other in both orders
+        held += [([1, 3], 60, 120), ([2, number - 1], 45, 95), ([0, number // 2], 66, 113)]
+        links, kept = passages.joined(_texts_with_one_window(rng, number, held), 46)
+        found = {(a, b) for a, b in zip(links["a"].tolist(), links["b"].tolist())}
+        assert {(1, 3), (2, number - 1), (0, number // 2)} <= found
+        assert len(kept) == number
+
+
+def test_each_of_many_texts_is_linked_with_one_that_shares_its_passage():
+    """Passages of the least length around a common shingle, each held by two or three of a thousand texts."""
+    rng, number = np.random.default_rng(6), 1000
+    order, held = rng.permutation(number).tolist(), [(list(range(number)), 64, 97)]
+    for at in range(0, 900, 3):
+        begin = int(rng.integers(36, 80))
+        held.append((order[at:at + 3], begin, begin + 46))
+    links, _ = passages.joined(_texts_with_one_window(rng, number, held), 46)
+    pairs = set(zip(links["a"].tolist(), links["b"].tolist()))
+    for texts, _, _ in held[1:]:
+        for t in texts:
+            assert any((min(t, o), max(t, o)) in pairs for o in texts if o != t)
