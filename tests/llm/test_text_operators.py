@@ -380,3 +380,32 @@ def test_pieces_of_many_texts_at_once_and_the_tokenizer_that_stays():
     coder = packing.coder_of(TOKENIZER)
     coder._learn(["kept"])
     assert packing.coder_of(TOKENIZER) is coder and "kept" in coder.place
+
+
+def test_words_are_known_without_the_marks_behind_them(monkeypatch):
+    import pyarrow as pa
+    coder = packing.PartTokenizer(TOKENIZER)
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    text = "one word. a word, a word\nOne word; word's word"
+    (ids,) = coder.encode(pa.array([text], pa.large_string()))
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [p for p in coder.place if "word" in p] == [" word"]
+    monkeypatch.setattr(packing, "KEPT_PARTS", 4)
+    for text in ["a word and other parts", "that word comes later", "no word"]:  # what is used often stays
+        list(coder.encode(pa.array([text], pa.large_string())))
+        assert " word" in coder.place and len(coder.place) <= 4
+
+
+def test_cut_texts_have_the_tokenizers_ids():
+    import pyarrow as pa
+    rng = random.Random(12)
+    atoms = ["a", "Ab", "9", "é", "ß", "Ω", "ª", "²", "½", "中", "́", "'", "'s", "'LL", "...", "!?", "_", "$", "-",
+             "\n", "\n\n", "\t", "\r\n", " ", " ", " ", "  ", "\x00", "\x1f", "\x85", "　", "​", "×", "ɏ", "🙂",
+             "<|endoftext|>"]
+    texts = ["".join(rng.choices(atoms, k=rng.randint(0, 14))) for _ in range(20_000)]
+    coder = packing.PartTokenizer(TOKENIZER)
+    want = [e.ids for e in Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 2500):
+        got = coder.encode(pa.array(texts[at:at + 2500], pa.large_string()))
+        for text, ids, right in zip(texts[at:at + 2500], got, want[at:at + 2500]):
+            assert ids.tolist() == right, text
