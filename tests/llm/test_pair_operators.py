@@ -497,3 +497,72 @@ def test_each_of_many_texts_is_linked_with_one_that_shares_its_passage():
     for texts, _, _ in held[1:]:
         for t in texts:
             assert any((min(t, o), max(t, o)) in pairs for o in texts if o != t)
+
+
+def test_stretches_of_many_pairs_are_those_of_each():
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    ones, others = [], []
+    for n in range(600):
+        one = rng.integers(0, 99, rng.integers(0, 150), "u4")
+        other = np.where(rng.random(len(one)) < rng.choice([0, 0.05, 0.3, 0.97]), 100, one).astype("u4")
+        if n % 3 == 0 and len(one) > 3:  # one run alike
+            other = np.full(len(one), 100, "u4")
+            x, y = sorted(rng.integers(0, len(one) + 1, 2))
+            other[x:y] = one[x:y]
+        ones.append(one)
+        others.append(other[:len(other) - n % 4 % 3])
+    for span in (5, 30):
+        rows = [pa.array([r.tobytes() for r in rows], pa.binary()) for rows in (ones, others)]
+        for begin, size in ((0, 600), (13, 100)):
+            found = sorted(zip(*(c.tolist() for c in passages.stretches_of_pairs(
+                rows[0].slice(begin, size), rows[1].slice(begin, size), span))))
+            want = []
+            for at, (one, other) in enumerate(zip(ones[begin:begin + size], others[begin:begin + size])):
+                one, other = one[:len(other)], other[:len(one)]
+                reach = passages.reaches(one, other)
+                whole, parts = (passages.of_length(*reach, s) for s in (span, passages.PART))
+                for x, y in sorted({*whole, *parts}):
+                    kind = 2 if (x, y) in whole and (x, y) in parts else int((x, y) in whole)
+                    want.append((at, x, y, int((one[x:y + 1] == other[x:y + 1]).sum()), kind))
+            assert found == sorted(want) and len({k for *_, k in want}) > 1
+
+
+def test_records_come_back_from_planes():
+    rng = np.random.default_rng(9)
+    links = np.frombuffer(rng.bytes(passages.LINK.itemsize * 50), passages.LINK)
+    parts = [passages.planes(p) for p in (links[:20], links[20:20], links[20:])]
+    assert (passages.from_planes(parts, passages.LINK) == links).all()
+    assert len(passages.from_planes([], passages.LINK)) == 0
+
+
+def test_windows_that_nothing_shares_come_through():
+    rng = np.random.default_rng(10)
+    windows = np.zeros(300, passages.WINDOW)
+    windows["key"], windows["text"], windows["right"] = rng.integers(0, 200, 300), np.arange(300), 60
+    windows["before"], windows["behind"] = rng.integers(0, 9, 300), rng.integers(0, 9, 300)
+    alone = [k for k, n in zip(*np.unique(windows["key"], return_counts=True)) if n == 1]
+    _, kept = passages.joined(windows, 46)
+    assert set(alone) <= set(kept["key"].tolist()) and set(kept["key"].tolist()) == set(windows["key"].tolist())
+    assert len(passages.joined(windows[np.isin(windows["key"], alone)], 46)[1]) == len(alone)
+
+
+def test_freed_memory_goes_back_when_a_task_ends():
+    import os
+    import pyarrow as pa
+    from tickloom.llm.text import tidied
+
+    def held():
+        with open(f"/proc/{os.getpid()}/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    last = []
+
+    def run(batches):
+        many = [bytearray(50_000) for _ in range(4000)]
+        last.append(bytearray(50_000))  # stays behind them
+        yield pa.record_batch({"n": [len(many)]})
+
+    before = held()
+    list(tidied(run)(iter([])))
+    assert held() - before < 60_000_000

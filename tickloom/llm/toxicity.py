@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.text import as_strings, lowered_words, shielded, slices
+from tickloom.llm.text import as_strings, lowered_words, shielded, slices, tidied, tidied_group
 
 TRAIN_ROWS = 3_000
 CLEAN_PER_TOXIC = 3
@@ -265,7 +265,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: dict[str, str]
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], folds: int = FOLDS) -> list[dict]:
     """The chain's models, one per category."""
     rows = training_rows(docs, labels, categories).withColumn("_all", F.lit(1))
-    found = rows.groupBy("_all").applyInArrow(_train(list(categories), folds), MODEL_DDL).collect()
+    found = rows.groupBy("_all").applyInArrow(tidied_group(_train(list(categories), folds)), MODEL_DDL).collect()
     models = [None] * len(categories)
     for row in found:
         models[row["category"]] = {
@@ -300,7 +300,7 @@ def score(docs: DataFrame, models: list[dict], names: list[str]) -> DataFrame:
             yield batch
     fields = [T.StructField(f.name, f.dataType) for f in docs.schema]
     fields += [T.StructField(f"p_{name}", T.DoubleType()) for name in names]
-    return docs.mapInArrow(run, T.StructType(fields))
+    return docs.mapInArrow(tidied(run), T.StructType(fields))
 
 
 #: The labels' categories in chain order; the last one decides.
