@@ -4,10 +4,12 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -87,6 +89,51 @@ def test_packed_keys_and_counts(size):
     assert (lmscore.unpack_counts(lmscore.pack_counts(counts), size) == counts).all()
 
 
+def test_scores_over_slices_of_a_block(spark, monkeypatch):
+    """A block is scored a slice of whole texts at a time; a text longer than a slice is one by itself."""
+    rng = random.Random(9)
+    vocabulary = words(rng, 20)
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 40, 700])))) for i in range(40)] + [(None, None)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(tuple(r)[1:] for r in lmscore.score(texts, 3, 7.0).collect())
+    monkeypatch.setattr(lmscore, "SLICE_TOKENS", 50)
+    assert sorted(tuple(r)[1:] for r in lmscore.score(texts, 3, 7.0).collect()) == whole
+
+
+def test_scoring_a_block_takes_little_memory():
+    """Bytes of arrays in use at once for a byte of text; 42 before a block was scored by slices."""
+    rng = random.Random(10)
+    vocabulary = words(rng, 20_000)
+    texts = [" ".join(rng.choices(vocabulary, k=400)) for _ in range(2500)]
+    block = pa.table({"doc_id": range(2500), "text": texts, "held_out": [i % 5 == 1 for i in range(2500)],
+                      "block": pa.array([0] * 2500, pa.int32())})
+    answers = pa.table({"size": [{"n": 10 ** 6, "v": 20_000}], "level": [9], "bucket": [0], "n": [0]})
+    tracemalloc.start()
+    try:
+        lmscore._score(3, 1000.0)(block, answers)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 32 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("top", [5, 2 ** 30, 2 ** 64 - 1])
+def test_rising_order_of_keys(top):
+    rng = np.random.default_rng(top % 97)
+    keys = rng.integers(0, top, 5000, np.uint64, endpoint=True)
+    near = np.concatenate([keys, (keys & ~np.uint64(7)) + np.uint64(3), keys[::-1] ^ np.uint64(1)])
+    for given in (keys, near, keys[:1], keys[:0]):
+        order, ordered = lmscore.rising(given)
+        assert (ordered == np.sort(given)).all() and (given[order] == ordered).all()
+        assert (np.sort(order) == np.arange(len(given))).all()
+
+
+def test_words_are_hashed_by_their_bytes():
+    given = pa.array(["x", "", "a", "\u00e9t\u00e9", "\U0001f600b"], pa.large_string())
+    for some in (given, given[2:], given[:0]):
+        assert lmscore.word_hashes(some).tolist() == [xxhash.xxh3_64_intdigest(w) for w in some.to_pylist()]
+
+
 def test_the_query_scores_with_trigrams(spark, tmp_path):
     rng = random.Random(6)
     vocabulary = words(rng, 12)

@@ -10,7 +10,7 @@ and the weights of arcs and failure arcs add up.
 The automaton of a large corpus fits no machine, so each block of documents gets the part that its own
 texts can reach: a block sends its distinct n-gram hashes, sorted and as differences, to buckets by hash; a
 bucket adds up the training counts and answers each block in the order of its question; the block builds its
-states and arcs from the answers and reads its texts. Words and pairs are asked first, and the answer also says
+states and arcs from the answers and reads its texts, a slice of them at a time. Words and pairs are asked first, and the answer also says
 whether another block holds the n-gram. A longer n-gram is in another block only if both n-grams one shorter
 inside it are, so only those are asked for; the count of any other is the block's own. Words and n-grams are
 known by 64-bit hashes.
@@ -21,6 +21,8 @@ rows are documents each; without training documents every token has the probabil
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.neardup import mixed
-from tickloom.llm.text import as_strings, lowered_words, parts_for, text_bytes
+from tickloom.llm.text import as_strings, lowered_words, parts_for, text_bytes, tidied_cogroup, tidied_group
 
 ORDER = 3
 MU = 1_000.0
@@ -36,6 +38,7 @@ FOLDS, HELD_OUT = 5, 1
 BLOCK_BYTES = 10 << 20
 BUCKET_BYTES = 4 << 20
 LANE = 512
+SLICE_TOKENS = 1 << 19  # an automaton is built for whole texts of about so many tokens
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 END_HASH = np.uint64(xxhash.xxh3_64_intdigest(b""))
@@ -66,10 +69,31 @@ def unpack_keys(packed: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
+def rising(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys in rising order, and the keys in that order.
+
+    The places stand in the low bits of what is sorted, which is much faster than ``argsort``. Keys without room
+    for them lose their low bits; if any come out of order then, ``argsort`` is taken.
+    """
+    keys, bits = keys.astype(np.uint64, copy=False), len(keys).bit_length()
+    room = min(bits, 64 - int(keys.max(initial=0)).bit_length())
+    low = np.uint64((1 << bits) - 1)
+    order = keys << np.uint64(room)
+    order &= ~low
+    order |= np.arange(len(keys), dtype=np.uint64)
+    order.sort()
+    order &= low
+    order = order.view(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys)
+        ordered = keys[order]
+    return order, ordered
+
+
 def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, a place of each, and the number of every key among them."""
-    order = np.argsort(keys)
-    ordered = keys[order]
+    order, ordered = rising(keys)
     fresh = np.ones(len(keys), bool)
     fresh[1:] = ordered[1:] != ordered[:-1]
     number = np.empty(len(keys), np.int32)
@@ -88,12 +112,21 @@ def unpack_counts(packed: bytes, n: int) -> np.ndarray:
     return counts
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """The hash of each word's UTF-8 bytes."""
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1].tolist()
+    data = memoryview(data) if data else b""
+    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in pairwise(ends)), np.uint64, len(words))
+
+
 class Tokens:
     """The tokens of some texts (words, then an end each) as hashes, and the n-grams that end at each."""
 
     def __init__(self, texts: pa.Array, order: int):
         codes, words, starts = lowered_words(texts)
-        own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+        own = word_hashes(words)
         docs = np.arange(len(starts) - 1)
         self.starts = starts + np.arange(len(starts))
         ends = self.starts[1:] - 1
@@ -105,6 +138,23 @@ class Tokens:
         self.place = np.arange(len(self.hashes)) - np.repeat(self.starts[:-1], np.diff(self.starts))
         self.order = order
 
+    def cut(self, first: int, last: int) -> Tokens:
+        """The tokens of the texts from ``first`` to before ``last``."""
+        part = object.__new__(Tokens)
+        begin, end = self.starts[first], self.starts[last]
+        part.starts = self.starts[first:last + 1] - begin
+        part.hashes, part.place, part.order = self.hashes[begin:end], self.place[begin:end], self.order
+        return part
+
+    def slices(self) -> list[tuple[int, int]]:
+        """First and last text of consecutive runs of about ``SLICE_TOKENS`` tokens, a text at least."""
+        runs, first, texts = [], 0, len(self.starts) - 1
+        while first < texts:
+            last = int(np.searchsorted(self.starts, self.starts[first] + SLICE_TOKENS, side="right")) - 1
+            runs.append((first, max(first + 1, last)))
+            first = runs[-1][1]
+        return runs
+
     def keys(self, level: int) -> np.ndarray:
         """Hash of the n-gram of ``level`` tokens that ends at each token, counting one begin mark.
 
@@ -136,6 +186,23 @@ class Level:
         self.asked = np.ones(len(self.keys), bool)
         self.shared = np.zeros(len(self.keys), bool)
 
+    def cut(self, part: Tokens, begin: int, end: int) -> Level:
+        """The n-grams that end at the tokens from ``begin`` to before ``end``, whose tokens are ``part``; no keys."""
+        cut = object.__new__(Level)
+        cut.level = self.level
+        cut.there = np.flatnonzero(part.place >= self.level - 2).astype(np.int32)
+        first, last = np.searchsorted(self.there, [begin, end])
+        at = self.at[first:last]
+        if self.level == 1:  # the begin mark
+            at = np.append(at, self.at[-1])
+        used = np.zeros(len(self.counts), bool)
+        used[at] = True
+        cut.counts = self.counts[used]
+        cut.at = (np.cumsum(used, dtype=np.int32) - 1)[at]
+        cut.some = np.empty(len(cut.counts), np.int32)
+        cut.some[cut.at] = np.arange(len(at), dtype=np.int32)
+        return cut
+
     def spread(self, tokens: Tokens) -> np.ndarray:
         """Place in ``keys`` of the n-gram that ends at each token; -1 where there is none."""
         whole = np.full(len(tokens.hashes), -1, np.int32)
@@ -288,9 +355,10 @@ class Automaton:
             weights.append(np.log10(here[known]))
             targets.append(node[known] if level < order else lower_node[suffix[known]])
             lower_node, lower_chance, lower_at = node, here, own.spread(tokens)
-        arcs, weights, targets = map(np.concatenate, (arcs, weights, targets))
-        order_ = np.argsort(arcs)
-        self.arcs, self.weights, self.targets = arcs[order_], weights[order_], targets[order_]
+        arcs = np.concatenate(arcs)
+        order_, arcs = rising(arcs)
+        self.arcs = arcs.astype(np.int64)
+        self.weights, self.targets = np.concatenate(weights)[order_], np.concatenate(targets)[order_]
         self.fail = np.concatenate(fail)
         self.fail_log = np.log10(mu / (np.concatenate(held) + mu))
         self.unknown_log = np.log10(0.5 / self.base_total)
@@ -363,16 +431,25 @@ def _score(order: int, mu: float):
         tokens, levels = _levels(block, order, rows)
         del rows, answers
         for level in levels:  # the automaton needs the counts alone
-            level.keys = level.asked = level.shared = None
-        automaton = Automaton(tokens, levels, n, v, mu)
-        sums = lambda x: np.add.reduceat(x, tokens.starts[:-1])  # noqa: E731  every text has a token
+            level.keys = level.some = level.asked = level.shared = None
+            level.counts = level.counts.astype(np.min_scalar_type(level.counts.max(initial=0)))
+        known, base, whole = [], [], []
+        for first, last in tokens.slices():
+            part = tokens.cut(first, last)
+            grams = [level.cut(part, tokens.starts[first], tokens.starts[last]) for level in levels]
+            automaton = Automaton(part, grams, n, v, mu)
+            sums = lambda x: np.add.reduceat(x, part.starts[:-1])  # noqa: B023, E731  every text has a token
+            known.append(sums((automaton.word_count > 0)[automaton.word].astype(np.int64)))
+            base.append(sums(automaton.word_log[automaton.word]))
+            whole.append(automaton.read(part.starts, order))
+            del part, grams, automaton
         return pa.table({
             "doc_id": block["doc_id"], "held_out": block["held_out"],
             "n_tokens": pa.array(np.diff(tokens.starts)),
-            "n_known": pa.array(sums((automaton.word_count > 0)[automaton.word].astype(np.int64))),
+            "n_known": pa.array(np.concatenate(known)),
             "train_tokens": pa.array(np.full(block.num_rows, n, np.int64)),
-            "base_score": pa.array(sums(automaton.word_log[automaton.word])),
-            "score": pa.array(automaton.read(tokens.starts, order))})
+            "base_score": pa.array(np.concatenate(base)),
+            "score": pa.array(np.concatenate(whole))})
     return run
 
 
@@ -389,15 +466,16 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU) -> DataFrame:
     held = F.crc32(name.cast("binary")) % FOLDS == HELD_OUT
     dealt = docs.select("doc_id", "text", held.alias("held_out"), F.pmod(
         F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
-    grams = dealt.groupBy("block").applyInArrow(_grams(order, bits), GRAMS_DDL)
-    sizes = grams.groupBy("bucket").applyInArrow(_size, "n long, v long").agg(
+    grams = dealt.groupBy("block").applyInArrow(tidied_group(_grams(order, bits)), GRAMS_DDL)
+    sizes = grams.groupBy("bucket").applyInArrow(tidied_group(_size), "n long, v long").agg(
         F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).alias("s"))
-    answers = grams.groupBy("bucket").applyInArrow(_answer, ANSWERS_DDL)
+    answers = grams.groupBy("bucket").applyInArrow(tidied_group(_answer), ANSWERS_DDL)
     for level in range(3, order + 1):
         told = answers.withColumn("counts", F.lit(None).cast("binary"))  # only which n-grams others hold
-        asked = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_longer(level, bits), GRAMS_DDL)
-        answers = answers.unionByName(asked.groupBy("bucket").applyInArrow(_answer, ANSWERS_DDL))
+        asked = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+            tidied_cogroup(_longer(level, bits)), GRAMS_DDL)
+        answers = answers.unionByName(asked.groupBy("bucket").applyInArrow(tidied_group(_answer), ANSWERS_DDL))
     answers = answers.withColumn("size", sizes.scalar())
     kind = docs.schema["doc_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(order, mu), f"doc_id {kind}, {SCORES}")
+        tidied_cogroup(_score(order, mu)), f"doc_id {kind}, {SCORES}")
