@@ -2,6 +2,8 @@
 
 import collections
 import random
+import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from tests.conftest import SF_DIR
 from tests.llm.conftest import documents, words
 from tickloom.llm import ann, components, neardup, passages, text, toxicity
 from tickloom.llm.catalog import ORACLES, QUERIES
+from tickloom.session import CLEANUP
 
 
 # Components -------------------------------------------------------------------------------------
@@ -566,3 +569,50 @@ def test_freed_memory_goes_back_when_a_task_ends():
     before = held()
     list(tidied(run)(iter([])))
     assert held() - before < 60_000_000
+
+
+def test_links_of_large_groups_come_in_parts(monkeypatch):
+    rng = np.random.default_rng(8)
+    groups = [_texts_with_one_window(rng, 200, [(list(range(200)), 60, 110)]) for _ in range(4)]
+    for number, windows in enumerate(groups):
+        windows["key"] = number
+        windows["text"] += 1000 * number
+    windows = np.concatenate(groups)
+    whole, kept = passages.joined(windows, 46)
+    monkeypatch.setattr(passages, "GATHERED", 300)
+    monkeypatch.setattr(passages, "HELD", 100)
+    monkeypatch.setattr(passages, "COMPARED", 100)
+    links, same = passages.linked(windows, 46)
+    parts = list(links)
+    assert len(parts) > 5 and max(map(len, parts)) < len(whole) / 2
+    assert {r.tobytes() for part in parts for r in part} == {r.tobytes() for r in whole}
+    assert (same == kept).all()
+
+
+def test_no_shuffle_files_of_finished_steps_stay(spark):
+    """While the passages of a table are looked for, only the last step's files may lie on the disk."""
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles()
+        found = [found.apply(i) for i in range(found.size())]
+        return {f.getName() for f in found if f.getName().startswith("shuffle_") and f.length() > 1000}
+
+    rng, before = random.Random(9), files()
+    passage = words(rng, 80)
+    texts = [" ".join(words(rng, 40) + passage + words(rng, 40)) for _ in range(12)]
+    found = passages.repeated_passages(documents(spark, texts))
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert found.count() == 12
+    assert spark.conf.get(CLEANUP, None) != "true"
+
+
+def test_word_counts():
+    rng = random.Random(10)
+    texts = ["".join(rng.choice("ab \t\n\x0b\x0c\r\x1f\u00e9\u3000\u0085") for _ in range(rng.randrange(9)))
+             for _ in range(500)] + [None, "", " "]
+    counts = text.word_counts(text.as_strings(pa.array(["a b", *texts]).slice(1)))
+    assert counts.tolist() == [len(re.findall(text.WORD_PATTERN, t or "")) for t in texts]
